@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kvflow.llm import langid
+from kvflow.llm import langid, simhash
 from kvflow.llm.common import table
 
 
@@ -12,5 +12,9 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_langid": op1_langid}
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_langid": op1_langid, "op2_simhash": op2_simhash}
 ORACLE_SQL: dict[str, str] = {}
