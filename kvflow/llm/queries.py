@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kvflow.llm import langid, simhash
+from kvflow.llm import decontaminate, exactdedup, langid, simhash
 from kvflow.llm.common import table
 
 
@@ -16,5 +16,19 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_langid": op1_langid, "op2_simhash": op2_simhash}
-ORACLE_SQL: dict[str, str] = {}
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exactdedup.duplicate_groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {
+    "op1_langid": op1_langid,
+    "op2_simhash": op2_simhash,
+    "op6_exact_dedup": op6_exact_dedup,
+    "op9_decontaminate": op9_decontaminate,
+}
+ORACLE_SQL: dict[str, str] = {"op6_exact_dedup": exactdedup.ORACLE_SQL, "op9_decontaminate": decontaminate.ORACLE_SQL}
