@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kvflow.llm import decontaminate, exactdedup, langid, simhash
+from kvflow.llm import decontaminate, exactdedup, langid, mixing, sharding, simhash
 from kvflow.llm.common import table
 
 
@@ -25,10 +25,20 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.Mix(table(spark, sf_dir, "documents")).taken().select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "op1_langid": op1_langid,
     "op2_simhash": op2_simhash,
+    "op5_sharding": op5_sharding,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_mixing": op7_mixing,
     "op9_decontaminate": op9_decontaminate,
 }
 ORACLE_SQL: dict[str, str] = {"op6_exact_dedup": exactdedup.ORACLE_SQL, "op9_decontaminate": decontaminate.ORACLE_SQL}
