@@ -3,8 +3,9 @@
 P(grade <= k) = sigmoid(threshold_k - w.x): one weight vector for all grades and ordered thresholds.  Grades come from
 ratings: 0 for toxic, 1 for poor, 2 for good.  A document gets its expected grade and the tail chances P(grade >= k).
 
-Features: distinct lower-case words and word shapes, hashed to DIMENSIONS, valued by the log of their count and scaled
-by the square root of the document's length in features.
+Features: distinct lower-case words and word shapes, hashed to DIMENSIONS.  The fit keeps those that at least MIN_ROWS
+sampled rows hold and whose share among toxic rows, or among rows below the best grade, departs from the rest's by
+MIN_Z standard errors.  A document's kept features count 1 / n ** 0.25 each, n being their number.
 
 The model is fitted on the driver from a bounded sample: the SAMPLE_ROWS rated rows whose id hashes lowest.  Every row
 of the table is scored, whole text.
@@ -17,7 +18,6 @@ there is (the best where there is none).  Repeated rows get equal results.  An e
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,10 +27,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 GRADES = 3
-DIMENSIONS = 1 << 16
+DIMENSIONS = 1 << 18
 #: Rated rows the model is fitted on, at most: so many rows' features reach the driver.
 SAMPLE_ROWS = 6000
-ROUNDS, RATE, DECAY = 120, 0.05, 2e-5
+MIN_ROWS, MIN_Z = 5, 5.0
+ROUNDS, RATE, DECAY = 200, 0.05, 1e-5
 #: Kept: P(grade >= KEEP_GRADE) of at least KEEP_CHANCE.
 KEEP_GRADE, KEEP_CHANCE = 1, 0.5
 
@@ -53,17 +54,10 @@ class _Buckets(dict):
         return got
 
 
-def features(text: str | None, buckets: _Buckets | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(buckets, values), buckets ascending."""
+def features(text: str | None, buckets: _Buckets | None = None) -> np.ndarray:
+    """The buckets of a text's features, each once, ascending."""
     buckets = _Buckets() if buckets is None else buckets
-    total: dict[int, int] = {}
-    seen = total.get
-    for token, n in Counter(_TOKEN.findall(text or "")).items():
-        for b in buckets[token]:
-            total[b] = seen(b, 0) + n
-    at = np.fromiter(sorted(total), np.int32, len(total))
-    value = np.log1p(np.fromiter((total[b] for b in at.tolist()), np.float32, len(at)))
-    return at, (value / np.sqrt(max(1.0, float(np.square(value).sum()) ** 0.5))).astype(np.float32)
+    return np.array(sorted({b for token in set(_TOKEN.findall(text or "")) for b in buckets[token]}), np.int32)
 
 
 def grade(quality: Column, toxic: Column) -> Column:
@@ -71,27 +65,44 @@ def grade(quality: Column, toxic: Column) -> Column:
 
 
 class Model:
-    """weights, thresholds (ascending, GRADES - 1 of them)."""
+    """weights (0 where a feature isn't kept), kept, thresholds (ascending, GRADES - 1 of them)."""
 
-    def __init__(self, weights: np.ndarray, thresholds: np.ndarray) -> None:
-        self.weights, self.thresholds = weights, thresholds
+    def __init__(self, weights: np.ndarray, kept: np.ndarray, thresholds: np.ndarray) -> None:
+        self.weights, self.kept, self.thresholds = weights, kept, thresholds
 
-    def tails(self, at: np.ndarray, value: np.ndarray) -> np.ndarray:
+    def tails(self, at: np.ndarray) -> np.ndarray:
         """P(grade >= k) for k = 1 ... GRADES - 1."""
-        return 1 / (1 + np.exp(np.clip(self.thresholds - float(self.weights[at] @ value), -50, 50)))
+        at = at[self.kept[at]]
+        score = float(self.weights[at].sum()) / max(1, len(at)) ** 0.25
+        return 1 / (1 + np.exp(np.clip(self.thresholds - score, -50, 50)))
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> Model:
+def _telling(rows: list[tuple[np.ndarray, int]]) -> np.ndarray:
+    """Which features the fit keeps."""
+    held = np.zeros((GRADES, DIMENSIONS))
+    for at, y in rows:
+        held[y, at] += 1
+    size = np.bincount([y for _, y in rows], minlength=GRADES)
+    n, z = held.sum(axis=0), np.zeros(DIMENSIONS)
+    for k in range(1, GRADES):
+        share = size[:k].sum() / size.sum()
+        z = np.maximum(z, np.abs(held[:k].sum(axis=0) - n * share) / np.sqrt(n * share * (1 - share) + 1))
+    return (n >= MIN_ROWS) & (z >= MIN_Z)
+
+
+def fit(rows: list[tuple[np.ndarray, int]]) -> Model:
     """Full-batch Adam on the cumulative-link likelihood, classes weighted by the square root of their rarity; deterministic."""
-    grades = np.array([r[2] for r in rows], np.int64)
+    grades = np.array([r[1] for r in rows], np.int64)
     present = sorted(set(grades.tolist()))
     if len(present) < 2:
         only = present[0] if present else GRADES - 1
-        return Model(np.zeros(DIMENSIONS, np.float32), np.where(np.arange(1, GRADES) <= only, -20.0, 20.0))
-    size = np.array([len(r[0]) for r in rows])
-    at = np.concatenate([r[0] for r in rows]).astype(np.int64)
-    value = np.concatenate([r[1] for r in rows]).astype(np.float64)
+        return Model(np.zeros(DIMENSIONS, np.float32), np.zeros(DIMENSIONS, bool), np.where(np.arange(1, GRADES) <= only, -20.0, 20.0))
+    kept = _telling(rows)
+    listed = [at[kept[at]] for at, _ in rows]
+    size = np.array([len(at) for at in listed])
+    at = np.concatenate(listed).astype(np.int64)
     row = np.repeat(np.arange(len(rows)), size)
+    value = (1 / np.maximum(1, size) ** 0.25)[row]
     share = np.bincount(grades, minlength=GRADES) / len(grades)
     weight = 1 / np.sqrt(np.maximum(share, 1e-9))[grades]
     weight /= weight.sum()
@@ -119,10 +130,10 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> Model:
             m += 0.1 * (g - m)
             v += 0.001 * (g * g - v)
             p -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
-    return Model(w.astype(np.float32), np.concatenate([base, base + np.cumsum(np.exp(gaps))]))
+    return Model(w.astype(np.float32), kept, np.concatenate([base, base + np.cumsum(np.exp(gaps))]))
 
 
-def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> list[tuple[np.ndarray, np.ndarray, int]]:
+def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> list[tuple[np.ndarray, int]]:
     """Features and grades of the rated rows whose id hashes lowest."""
     rated = labels.select("doc_id", grade(F.col("quality"), F.col("toxic")).alias("grade")).where("doc_id is not null and grade is not null")
     rated = rated.groupBy("doc_id").agg(F.min("grade").alias("grade"))
@@ -134,14 +145,14 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> list[
         for batch in batches:
             got = [features(t.as_py(), buckets) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array([g[0] for g in got], pa.list_(pa.int32())), pa.array([g[1] for g in got], pa.list_(pa.float32()))],
-                ["doc_id", "grade", "at", "value"],
+                [batch.column(0), batch.column(2), pa.array(got, pa.list_(pa.int32()))],
+                ["doc_id", "grade", "at"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = joined.select("doc_id", "text", "grade").mapInArrow(run, f"doc_id {kind}, grade int, at array<int>, value array<float>").dropDuplicates(["doc_id"])
+    found = joined.select("doc_id", "text", "grade").mapInArrow(run, f"doc_id {kind}, grade int, at array<int>").dropDuplicates(["doc_id"])
     got = sorted(found.collect(), key=lambda r: r.doc_id)
-    return [(np.array(r["at"], np.int32), np.array(r["value"], np.float32), r["grade"]) for r in got]
+    return [(np.array(r["at"], np.int32), r["grade"]) for r in got]
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -152,7 +163,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, buckets = shared.value, _Buckets()
         for batch in batches:
-            tails = np.array([m.tails(*features(t.as_py(), buckets)) for t in batch.column(1)]).reshape(-1, GRADES - 1)
+            tails = np.array([m.tails(features(t.as_py(), buckets)) for t in batch.column(1)]).reshape(-1, GRADES - 1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(tails.sum(axis=1)), *(pa.array(tails[:, k]) for k in range(GRADES - 1)), pa.array(tails[:, KEEP_GRADE - 1] >= KEEP_CHANCE)],
                 [id_col, "grade", *(f"p_ge_{k}" for k in range(1, GRADES)), "keep"],
