@@ -59,13 +59,10 @@ def _few(df: DataFrame) -> bool:
     return df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
 
 
-def decontaminate(
-    docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", broadcast: bool | None = None
-) -> DataFrame:
-    """id_col, n_words, n_hit, n_items, items_sha256, contaminated: a row for each row of docs.
-
-    broadcast: None lets the benchmark's size decide.
-    """
+def _occurring(
+    docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_id: str, item_text: str, broadcast: bool | None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(tokenised rows, occurrences: row key, start, n, window; owned: item_id, window)."""
     long_items, short_items = _windows(items, item_id, item_text)
     kept = long_items.withColumn("h", _gram_hashes("w")).select(F.explode(winnowed("h")).alias("at"), "h")
     grams = materialise(kept.select(F.element_at("h", F.col("at") + 1).alias("gram")).distinct(), "grams")
@@ -100,12 +97,27 @@ def decontaminate(
         owned = owned.union(short_items.select("item_id", F.array_join("w", " ").alias("window")).distinct())
         length = F.size(F.split("window", " "))
 
-    candidates = materialise(candidates, "candidates")
-    occurring = candidates.join(owned.select("window").distinct(), "window", "left_semi")
+    occurring = candidates.join(owned.select("window").distinct(), "window", "left_semi").withColumn("n", length)
+    return tokenised, materialise(occurring, "occurring"), owned
+
+
+def flags(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The row keys (common.with_row_key) of contaminated documents, each once."""
+    return _occurring(docs, items, id_col, text_col, item_id, item_text, None)[1].select(*ROW_KEY).distinct()
+
+
+def decontaminate(
+    docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", broadcast: bool | None = None
+) -> DataFrame:
+    """id_col, n_words, n_hit, n_items, items_sha256, contaminated: a row for each row of docs.
+
+    broadcast: None lets the benchmark's size decide.
+    """
+    tokenised, occurring, owned = _occurring(docs, items, id_col, text_col, item_id, item_text, broadcast)
     covered = F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["start"] + s["n"] - 1))))
-    hits = occurring.select(*ROW_KEY, F.struct("start", length.alias("n")).alias("span")).groupBy(*ROW_KEY).agg(F.collect_set("span").alias("spans"))
+    hits = occurring.select(*ROW_KEY, F.struct("start", "n").alias("span")).groupBy(*ROW_KEY).agg(F.collect_set("span").alias("spans"))
     hits = hits.select(*ROW_KEY, F.size(covered).cast("long").alias("n_hit"))
-    found = candidates.select(*ROW_KEY, "window").distinct().join(owned, "window").select(*ROW_KEY, "item_id").distinct()
+    found = occurring.select(*ROW_KEY, "window").distinct().join(owned, "window").select(*ROW_KEY, "item_id").distinct()
     listed = found.groupBy(*ROW_KEY).agg(F.array_sort(F.collect_list(F.col("item_id").cast("string"))).alias("ids"))
     listed = listed.select(*ROW_KEY, F.size("ids").cast("long").alias("n_items"), F.array_join("ids", ",").alias("ids"))
     summed = hits.join(listed, ROW_KEY, "left")

@@ -31,19 +31,19 @@ ROW_BYTES = 8
 SLOT_ROWS = 500_000
 
 
-def _scaled(df: DataFrame, names: list[str]) -> DataFrame:
-    """df with k0, k1, ...: each dimension as an int from 0 to BINS - 1."""
+def _scaled(df: DataFrame, names: list[str]) -> list[Column]:
+    """Each dimension as an int from 0 to BINS - 1."""
     numeric = [c for c in names if isinstance(df.schema[c].dataType, T.NumericType)]
     logs = {c: F.log1p(F.greatest(F.coalesce(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0))) for c in numeric}
     ends = df.agg(*[f(logs[c]).alias(f"{c}_{f.__name__}") for c in numeric for f in (F.min, F.max)]).first() if numeric else None
-    out = df
-    for i, c in enumerate(names):
+    out = []
+    for c in names:
         if c in logs:
             low, high = ends[f"{c}_min"] or 0.0, ends[f"{c}_max"] or 0.0
             value = (logs[c] - low) / (high - low) * (BINS - 1) if high > low else F.lit(0)
         else:
             value = F.when(F.col(c).isNull(), 0).otherwise(F.pmod(F.xxhash64(F.col(c).cast("string")), F.lit(BINS)))
-        out = out.withColumn(f"k{i}", value.cast("int"))
+        out.append(value.cast("int"))
     return out
 
 
@@ -138,17 +138,17 @@ def assign(
     if not 1 <= shards <= MAX_SHARDS:
         raise ValueError(f"shards must be 1 to {MAX_SHARDS}")
     dims = [c for c in dimensions if c in docs.columns]
+    names = [f"k{i}" for i in range(len(dims))] or ["tie"]
     text = F.col(text_col)
-    rows = docs.select(
-        F.col(id_col),
+    described = docs.select(
+        F.col(id_col).alias("id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.pmod(F.xxhash64(F.col(id_col), text), F.lit(BINS * BINS)).alias("tie"),
-        *[F.col(c).alias(c) for c in dims if c not in (id_col, text_col, "size", "tie")],
-        *[F.col(c).alias(f"carried_{c}") for c in carry],
+        *[k.alias(f"k{i}") for i, k in enumerate(_scaled(docs, dims))],
+        *([F.struct(*[F.col(c).alias(c) for c in carry]).alias("carried")] if carry else []),
     )
-    rows = materialise(_scaled(rows, dims), "shard-rows")
-    names = [f"k{i}" for i in range(len(dims))] or ["tie"]
+    rows = materialise(described.drop("carried"), "shard-rows")
     tree, depth = _Tree(shards), 0
     while open_ := {n: k for n, k in enumerate(tree.leaves) if k > 1 and tree.left[n] < 0}:
         cuts = _cuts(rows.select(tree.node(names, depth).alias("node"), *names, "tie", "size"), open_, names)
@@ -157,21 +157,24 @@ def assign(
         for n in open_:
             tree.split(n, *cuts.get(n, (0, -1)))
         depth += 1
-    shard = _lookup(tree.first, tree.node(names, depth)).cast("int")
-    rows = materialise(rows.withColumn("shard", shard).drop(*names), "sharded")
-    return _slotted(rows, id_col).select(
-        id_col, "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
-        *[F.col(f"carried_{c}").alias(c) for c in carry],
+    shard = _lookup(tree.first, tree.node(names, depth)).cast("int").alias("shard")
+    placed = rows.select("tie", shard)
+    final = (described if carry else rows).select("id", "size", "text_crc32", "tie", shard, *(["carried"] if carry else []))
+    return _slotted(final, placed).select(
+        F.col("id").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+        *(["carried.*"] if carry else []),
     )
 
 
-def _slotted(rows: DataFrame, id_col: str) -> DataFrame:
-    """Number the rows of each shard from 0, in parts of about SLOT_ROWS: no task holds a whole shard."""
-    count = rows.groupBy("shard").count()
-    most = count.agg(F.max("count")).first()[0] or 0
-    parts = max(1, -(-most // SLOT_ROWS))
-    rows = rows.withColumn("part", F.pmod(F.col("tie"), F.lit(parts)).cast("int"))
-    order = Window.partitionBy("shard").orderBy("part")
-    starts = rows.groupBy("shard", "part").count().select("shard", "part", (F.sum("count").over(order) - F.col("count")).alias("start"))
-    own = Window.partitionBy("shard", "part").orderBy(id_col, "tie")
-    return rows.withColumn("within", F.row_number().over(own) - 1).join(starts, ["shard", "part"]).withColumn("slot", (F.col("start") + F.col("within")).cast("long"))
+def _slotted(rows: DataFrame, placed: DataFrame) -> DataFrame:
+    """Number the rows of each shard from 0, in parts of about SLOT_ROWS: no task holds a whole shard.
+
+    placed: tie and shard of the same rows, cheap to read.
+    """
+    most = placed.groupBy("shard").count().agg(F.max("count")).first()[0] or 0
+    part = F.pmod(F.col("tie"), F.lit(max(1, -(-most // SLOT_ROWS)))).cast("int").alias("part")
+    sums = placed.groupBy("shard", part).count()
+    starts = sums.select("shard", "part", (F.sum("count").over(Window.partitionBy("shard").orderBy("part")) - F.col("count")).alias("start"))
+    own = Window.partitionBy("shard", "part").orderBy("id", "tie")
+    within = rows.withColumn("part", part).withColumn("within", F.row_number().over(own) - 1)
+    return within.join(starts, ["shard", "part"]).withColumn("slot", (F.col("start") + F.col("within")).cast("long"))
