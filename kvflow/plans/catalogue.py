@@ -1,6 +1,432 @@
-"""Registered key-value queries and their SQL oracles."""
+"""Registered key-value queries and their SQL oracles.  Binary results are shown as text, arrays joined by ``|``."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kvflow.functions import resp
+from kvflow.operators import counters, filters, ordering, replay, routing, transform, values
+from kvflow.operators.filters import FilterConfig
+from kvflow.operators.parse import parse
+from kvflow.plans import synth
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+NODES = ["node0:6379", "node1:6379", "node2:6379", "node3:6379"]
+
+
+def _query(sql: str | None = None, name: str | None = None):
+    """Register a query; sql may use the views e and p of synth.SQL."""
+
+    def add(f):
+        key = name or f.__name__
+        QUERIES[key] = f
+        if sql is not None:
+            ORACLE_SQL[key] = f"with {synth.SQL} {sql}" if not sql.startswith("with") else sql
+        return f
+
+    return add
+
+
+def _joined(c: str | Column) -> Column:
+    c = F.col(c) if isinstance(c, str) else c
+    return F.array_join(F.transform(c, lambda x: x.cast("string")), "|")
+
+
+def _shown(df: DataFrame) -> DataFrame:
+    return df.select("seq", "db_id", "cmd_name", _joined("argv").alias("argv"))
+
+
+_SHOW = "select seq, db_id, cmd as cmd_name, array_to_string(argv, '|') as argv from p"
+
+
+@_query("select seq, cmd as cmd_name, grp as \"group\", array_to_string(keys, '|') as keys, case argv[1] when 'DEL' then '2|3' when 'MSET' then '2|4' when 'XGROUP' then '3' when 'FOOCMD' then '' else '2' end as key_indexes from p")
+def entries_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return synth.entries(spark, sf_dir).select("seq", "cmd_name", "group", _joined("keys").alias("keys"), _joined("key_indexes").alias("key_indexes"))
+
+
+@_query("select cmd as cmd_name, count(*) as n, count(distinct argv[1]) as spellings from p group by cmd")
+def cmd_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = synth.entries(spark, sf_dir)
+    return e.groupBy("cmd_name").agg(F.count("*").alias("n"), F.countDistinct(F.get("argv", 0)).alias("spellings"))
+
+
+@_query('select grp as "group", cmd as cmd_name, count(*) as n from p group by grp, cmd')
+def group_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship: parse, filter nothing, count by command."""
+    return counters.by_command(synth.entries(spark, sf_dir))
+
+
+@_query("select count(*) as total_entries from p")
+def total_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counters.total(synth.entries(spark, sf_dir))
+
+
+def _filter_query(name: str, cfg: FilterConfig, where: str) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _shown(filters.apply_filters(synth.entries(spark, sf_dir), cfg))
+
+    run.__name__, run.__doc__ = name, f"Entries that pass {cfg}"
+    _query(f"{_SHOW} where {where}")(run)
+
+
+_KEYS = "len(list_filter(keys, lambda k: {0})) = len(keys)"
+_filter_query("filter_allow_prefix", FilterConfig(allow_key_prefix=("view:", "err:")), _KEYS.format("starts_with(k, 'view:') or starts_with(k, 'err:')"))
+_filter_query("filter_allow_suffix", FilterConfig(allow_key_suffix=("7", "3}")), _KEYS.format("ends_with(k, '7') or ends_with(k, '3}')"))
+_filter_query("filter_block_prefix", FilterConfig(block_key_prefix=("temp:",)), _KEYS.format("not starts_with(k, 'temp:')"))
+_filter_query("filter_block_suffix", FilterConfig(block_key_suffix=("1", "2")), _KEYS.format("not (ends_with(k, '1') or ends_with(k, '2'))"))
+_filter_query("filter_allow_or_suffix", FilterConfig(allow_key_prefix=("view:",), allow_key_suffix=("9",)), _KEYS.format("starts_with(k, 'view:') or ends_with(k, '9')"))
+_filter_query("filter_db_allow", FilterConfig(allow_db=(0, 3, 5)), "db_id in (0, 3, 5)")
+_filter_query("filter_db_block", FilterConfig(block_db=(0, 3, 5)), "db_id not in (0, 3, 5)")
+_filter_query("filter_cmd_allow", FilterConfig(allow_command=("SET", "XGROUP-CREATE")), "cmd in ('SET', 'XGROUP-CREATE')")
+_filter_query("filter_cmd_block", FilterConfig(block_command=("SET", "FOOCMD")), "cmd not in ('SET', 'FOOCMD')")
+_filter_query("filter_group_allow", FilterConfig(allow_command_group=("STRING", "HASH")), "grp in ('STRING', 'HASH')")
+_filter_query("filter_group_block", FilterConfig(block_command_group=("STRING", "unknown")), "grp not in ('STRING', 'unknown')")
+_filter_query(
+    "filter_all",
+    FilterConfig(allow_key_prefix=("view:", "user:", "err:", "temp:"), block_key_suffix=("3",), block_db=(1,), block_command=("DEL",), allow_command_group=("STRING", "HASH", "unknown")),
+    _KEYS.format("(starts_with(k, 'view:') or starts_with(k, 'user:') or starts_with(k, 'err:') or starts_with(k, 'temp:')) and not ends_with(k, '3')")
+    + " and db_id <> 1 and cmd <> 'DEL' and grp in ('STRING', 'HASH', 'unknown')",
+)
+
+
+@_query("select cmd as cmd_name, count(*) as mixed from p where len(list_filter(keys, lambda k: starts_with(k, 'err:'))) between 1 and len(keys) - 1 group by cmd")
+def filter_mixed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = synth.entries(spark, sf_dir)
+    return e.where(filters.mixed_keys(FilterConfig(allow_key_prefix=("err:",)))).groupBy("cmd_name").agg(F.count("*").alias("mixed"))
+
+
+_CRC = """list_reduce(list_prepend(0, [ascii(c) for c in string_split(tag, '')]), lambda c, b:
+  list_reduce(list_prepend(xor(c, b << 8), range(8)), lambda x, i: (case when (x & 32768) <> 0 then xor(x << 1, 4129) else x << 1 end) & 65535)) & 16383"""
+_SLOTS = f"""
+k as (select distinct k from (select unnest(keys) as k from p)),
+t as (select k, case when regexp_matches(k, '\\{{[^}}]+\\}}') then regexp_extract(k, '\\{{([^}}]+)\\}}', 1) else k end as tag from k),
+s as (select k, cast({_CRC} as int) as slot from t)"""
+
+
+@_query(f"with {synth.SQL}, {_SLOTS} select k as key, slot from s")
+def slot_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kvflow.functions.hashing import slot
+
+    keys = synth.entries(spark, sf_dir).select(F.explode("keys").alias("key")).distinct()
+    return keys.select(F.col("key").cast("string").alias("key"), slot(F.col("key")).alias("slot"))
+
+
+_ONE_SLOT = "filtered as (select * from p where cmd in ('SET', 'HSET', 'FOOCMD'))"
+
+
+def _routable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return synth.entries(spark, sf_dir, with_slots=True).where(F.col("cmd_name").isin("SET", "HSET", "FOOCMD"))
+
+
+@_query(f"with {synth.SQL}, {_SLOTS}, {_ONE_SLOT} select seq, s.slot as slot, 'node' || (s.slot // 4096) || ':6379' as node from filtered join s on s.k = filtered.keys[1] where cmd <> 'FOOCMD'")
+def slot_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _routable(spark, sf_dir).where("cmd_name <> 'FOOCMD'")
+    return routing.route(e, routing.even_routes(spark, NODES)).select("seq", "slot", "node")
+
+
+@_query(
+    f"with {synth.SQL}, {_SLOTS}, {_ONE_SLOT}, r as (select 'node' || (s.slot // 4096) || ':6379' as node from filtered join s on s.k = filtered.keys[1] "
+    "union all select 'node' || n || ':6379' from filtered, range(4) g(n) where cmd = 'FOOCMD') select node, count(*) as n from r group by node"
+)
+def node_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return routing.route(_routable(spark, sf_dir), routing.even_routes(spark, NODES)).groupBy("node").agg(F.count("*").alias("n"))
+
+
+@_query("select seq, 'node' || n || ':6379' as node from p, range(4) g(n) where cmd = 'FOOCMD'")
+def broadcast_no_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = synth.entries(spark, sf_dir, with_slots=True).where("size(keys) = 0")
+    return routing.route(e, routing.even_routes(spark, NODES)).select("seq", "node")
+
+
+@_query(f"with {synth.SQL}, {_SLOTS}, u as (select seq, cmd, unnest(keys) as k from p where len(keys) > 1) select cmd as cmd_name, count(*) as n from (select seq, cmd from u join s using (k) group by seq, cmd having count(distinct slot) > 1) group by cmd")
+def cross_slot_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return routing.cross_slot(synth.entries(spark, sf_dir, with_slots=True)).groupBy("cmd_name").agg(F.count("*").alias("n"))
+
+
+@_query("select count(*) as faults, 16384 as slots from (select unnest(range(16384)) as s except select s from range(16384) t(s))")
+def slot_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = routing.even_routes(spark, NODES)
+    total = routing.slot_table(r).count()
+    return routing.coverage_faults(r).agg(F.count("*").alias("faults")).withColumn("slots", F.lit(total).cast("int"))
+
+
+@_query("select seq, cast(3 + len(cast(len(argv) as varchar)) + list_sum([5 + len(cast(strlen(a) as varchar)) + strlen(a) for a in argv]) as bigint) as size from p")
+def resp_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return synth.entries(spark, sf_dir).select("seq", F.col("serialized_size").alias("size"))
+
+
+@_query("select seq, '*' || len(argv) || chr(13) || chr(10) || array_to_string(['$' || strlen(a) || chr(13) || chr(10) || a || chr(13) || chr(10) for a in argv], '') as wire from p")
+def resp_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return synth.raw(spark, sf_dir).select("seq", resp.encoded(F.col("argv")).cast("string").alias("wire"))
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    ascii_only = F.regexp_replace(F.coalesce("text", F.lit("")), r"[^\x00-\x7F]", "?")
+    return d.select("doc_id", ascii_only.alias("body"))
+
+
+_DOCS = "with d as (select doc_id, regexp_replace(coalesce(text, ''), '[^\\x00-\\x7F]', '?', 'g') as body from documents)"
+
+
+@_query(f"{_DOCS} select doc_id, 'SET doc:' || doc_id || ' ' || case when length(body) > 100 then substr(body, 1, 100) || '...' else body end as line from d")
+def display_trunc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _documents(spark, sf_dir)
+    argv = F.array(*[c.cast("binary") for c in (F.lit("SET"), F.concat(F.lit("doc:"), F.col("doc_id").cast("string")), F.col("body"))])
+    return d.select("doc_id", resp.display(argv).alias("line"))
+
+
+@_query(f"{_DOCS} select doc_id, length(body) as size, case when length(body) > 3000 then 'commands' else 'restore' end as form from d")
+def large_value_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _documents(spark, sf_dir).select("doc_id", F.col("doc_id").cast("string").cast("binary").alias("key"), F.lit(0).alias("pttl"), F.col("body").cast("binary").alias("dump"))
+    small, large = values.restore_commands(d, 3000)
+    size = F.octet_length("dump").cast("long").alias("size")
+    return small.select("doc_id", size, F.lit("restore").alias("form")).union(large.select("doc_id", size, F.lit("commands").alias("form")))
+
+
+@_query(_SHOW)
+def fn_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(transform.apply_function(synth.entries(spark, sf_dir), None))
+
+
+@_query(f"{_SHOW} where starts_with(keys[1], 'user:')")
+def fn_filter_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(transform.keep_prefix(synth.entries(spark, sf_dir), b"user:"))
+
+
+@_query(f"{_SHOW} where db_id <> 0")
+def fn_filter_db(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(transform.drop_db(synth.entries(spark, sf_dir), 0))
+
+
+@_query(f"{_SHOW} where grp = 'HASH'")
+def fn_filter_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(transform.keep_group(synth.entries(spark, sf_dir), "HASH"))
+
+
+@_query(f"{_SHOW} where grp <> 'SCRIPTING'")
+def fn_filter_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(transform.drop_scripts(synth.entries(spark, sf_dir)))
+
+
+@_query(
+    "select seq, db_id, cmd as cmd_name, array_to_string([case when list_contains(keys, a) and starts_with(a, 'view:') then 'seen/' || substr(a, 6) else a end for a in argv], '|') as argv, "
+    "array_to_string([case when starts_with(k, 'view:') then 'seen/' || substr(k, 6) else k end for k in keys], '|') as keys from p"
+)
+def fn_rename_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = transform.rename_prefix(synth.entries(spark, sf_dir), b"view:", b"seen/")
+    return e.select("seq", "db_id", "cmd_name", _joined("argv").alias("argv"), _joined("keys").alias("keys"))
+
+
+@_query("select seq, case db_id when 1 then 2 when 2 then 1 else db_id end as db_id, cmd as cmd_name, array_to_string(argv, '|') as argv from p")
+def fn_swap_db(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(transform.swap_db(synth.entries(spark, sf_dir), 1, 2))
+
+
+_SPLIT = (
+    "select seq, cast(i as int) as ordinal, 'SET' as cmd_name, 'SET|' || argv[2 + 2 * i] || '|' || argv[3 + 2 * i] as argv from p, range(2) g(i) where cmd = 'MSET' "
+    "union all select seq, 0, cmd, array_to_string(argv, '|') from p where cmd <> 'MSET'"
+)
+
+
+@_query(_SPLIT)
+def fn_split_mset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = transform.split_mset(synth.entries(spark, sf_dir))
+    return e.select("seq", "ordinal", "cmd_name", _joined("argv").alias("argv"))
+
+
+@_query(_SPLIT)
+def fn_table_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = transform.apply_function(synth.entries(spark, sf_dir), transform.mset_function)
+    return e.select("seq", "ordinal", "cmd_name", _joined("argv").alias("argv"))
+
+
+@_query("select distinct db_id, k as key from (select db_id, unnest(keys) as k from p)")
+def dedup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = synth.entries(spark, sf_dir).select("db_id", F.explode("keys").alias("key"))
+    return values.distinct_keys(keys).select("db_id", F.col("key").cast("string").alias("key"))
+
+
+def _with_selects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four logs; every purchase reads as a SELECT of its user's database."""
+    raw = synth.raw(spark, sf_dir)
+    is_select = F.get("argv", 0).cast("string") == "ZADD"
+    db = F.col("db_id").cast("string").cast("binary")
+    argv = F.when(is_select, F.array(F.lit(b"select"), db)).otherwise(F.col("argv"))
+    return raw.select(F.concat(F.lit("s"), F.col("seq") % 4).alias("source_id"), "seq", "db_id", argv.alias("argv"))
+
+
+@_query(
+    "select 's' || (seq % 4) as source_id, seq, cast(coalesce(last_value(case when cmd = 'ZADD' then db_id end ignore nulls) over (partition by seq % 4 order by seq rows between unbounded preceding and current row), 0) as int) as db_id, cmd from p qualify cmd <> 'ZADD'"
+)
+def db_forward_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ordering.absorb_select(_with_selects(spark, sf_dir))
+    return parse(out, with_slots=False).select("source_id", "seq", "db_id", F.col("cmd_name").alias("cmd"))
+
+
+@_query(
+    "select source_id, seq from (select 's' || (event_id % 4) as source_id, event_id as seq, max(epoch(ts) + (event_id * 7919 % 3600)) over (partition by event_id % 4 order by event_id rows between unbounded preceding and current row) as m, "
+    "avg(epoch(ts)) over () as mid from events) where m <= floor(mid)",
+)
+def aof_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    stamp = F.col("ts").cast("timestamp").cast("double") + (F.col("event_id") * 7919 % 3600)
+    mid = events.agg(F.floor(F.avg(F.col("ts").cast("timestamp").cast("double")))).first()[0]
+    rows = events.select(F.concat(F.lit("s"), F.col("event_id") % 4).alias("source_id"), F.col("event_id").alias("seq"), stamp.alias("ts"))
+    return ordering.cut_after(rows, mid).select("source_id", "seq")
+
+
+@_query("select event_id, case when event_id % 5 = 1 then 0 else event_id % 5 * 100 end as pttl from events where event_id % 5 <> 2 and event_id % 7 <> 0", name="ttl_normalise")
+def ttl_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    pttl = F.when(F.col("event_id") % 5 == 1, -1).when(F.col("event_id") % 5 == 2, -2).otherwise(F.col("event_id") % 5 * 100)
+    d = events.select("event_id", pttl.alias("pttl"), F.when(F.col("event_id") % 7 != 0, F.lit(b"x")).alias("dump"))
+    return values.normalise_ttl(d).select("event_id", F.col("pttl").cast("long").alias("pttl"))
+
+
+def _rewrite(name: str, cmd: str, sql: str) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        e = synth.entries(spark, sf_dir).where(F.col("cmd_name") == cmd)
+        space = replay.keyspace(e)
+        made = {"RPUSH": values.list_commands, "HSET": values.hash_commands, "ZADD": values.zset_commands, "SADD": values.set_commands}[cmd](space)
+        return made.select("db_id", _joined("argv").alias("argv"))
+
+    run.__name__ = name
+    _query(sql)(run)
+
+
+_rewrite("scan_rewrite_list", "RPUSH", "select db_id, 'rpush|' || argv[2] || '|' || argv[3] as argv from p where cmd = 'RPUSH'")
+_rewrite("scan_rewrite_hash", "HSET", "select db_id, 'hset|' || argv[2] || '|' || argv[3] || '|' || arg_max(argv[4], seq) as argv from p where cmd = 'HSET' group by db_id, argv[2], argv[3]")
+_rewrite("scan_rewrite_zset", "ZADD", "select db_id, 'zadd|' || argv[2] || '|' || arg_max(argv[3], seq) || '|' || argv[4] as argv from p where cmd = 'ZADD' group by db_id, argv[2], argv[4]")
+
+
+@_query("select distinct db_id, 'sadd|fields|' || argv[3] as argv from p where cmd = 'HSET'")
+def scan_rewrite_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = synth.entries(spark, sf_dir).where("cmd_name = 'HSET'")
+    sadd = e.select("source_id", "seq", "db_id", F.array(F.lit(b"SADD"), F.lit(b"fields"), F.get("argv", 2)).alias("argv"))
+    return values.set_commands(replay.keyspace(parse(sadd, False))).select("db_id", _joined("argv").alias("argv"))
+
+
+@_query(
+    "with c as (select o_orderkey as id, o_custkey as key from orders where o_orderkey % 3 <> 0), g as (select l_orderkey as id, max(epoch_ms(l_shipdate)) as delivery_ms, count(*) as deliveries from lineitem where l_orderkey % 2 = 0 group by l_orderkey) "
+    "select id, key, coalesce(delivery_ms, 0) as delivery_ms, coalesce(deliveries, 0) as deliveries from c left join g using (id)"
+)
+def pel_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a consumer's pending ids, lineitem as the group's list."""
+    orders, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("orders", "lineitem"))
+    consumer = orders.where("o_orderkey % 3 <> 0").select(F.col("o_custkey").alias("key"), F.lit("g").alias("grp"), F.col("o_orderkey").alias("id"))
+    group = items.where("l_orderkey % 2 = 0").groupBy(F.col("l_orderkey").alias("id")).agg(F.unix_millis(F.max("l_shipdate").cast("timestamp")).alias("delivery_ms"), F.count("*").alias("deliveries"))
+    group = group.join(consumer.select("key", "grp", "id"), "id")
+    return values.pending_commands(consumer, group).select("id", "key", "delivery_ms", "deliveries")
+
+
+@_query("with s as (select s_nationkey, arg_max(s_name, s_suppkey) as replica from supplier group by s_nationkey) select s_nationkey as shard, replica from s")
+def replica_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The replica with the greatest offset of each shard."""
+    s = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    return s.groupBy(F.col("s_nationkey").alias("shard")).agg(F.max_by("s_name", "s_suppkey").alias("replica"))
+
+
+@_query("with h as (select date_trunc('hour', ts) as hour, count(*) as n from events group by 1) select strftime(hour, '%Y-%m-%d %H:%M') as hour, n, n / 3600.0 as per_second, n - lag(n) over (order by hour) as change from h")
+def op_rate_per_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rate = counters.hourly_rate(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return rate.withColumn("hour", F.date_format("hour", "yyyy-MM-dd HH:mm"))
+
+
+@_query("select cmd as cmd_name, count(*) as n from p group by cmd")
+def union_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = synth.entries(spark, sf_dir)
+    shards = [e.where(F.col("seq") % 4 == i) for i in range(4)]
+    out = shards[0]
+    for s in shards[1:]:
+        out = out.unionByName(s)
+    return out.groupBy("cmd_name").agg(F.count("*").alias("n"))
+
+
+@_query("select bool_and(r = s) as consistent, cast(sum(r - s) as bigint) as unanswered_bytes from (select event_id % 4, max(event_id) as r, max(case when event_type <> 'error' then event_id end) as s from events group by 1)", name="shard_consistency")
+def shard_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    shards = events.groupBy((F.col("event_id") % 4).alias("source_id")).agg(F.max("event_id").alias("received"), F.max(F.when(F.col("event_type") != "error", F.col("event_id"))).alias("sent"))
+    return counters.consistency(shards)
+
+
+#: One row for each effect on a key: kind string or remove sets the boundary.
+_REPLAY = f"""with {synth.SQL},
+x as (
+  select seq, db_id, argv[2] as k, 'string' as kind, argv[3] as v, null as f from p where cmd = 'SET'
+  union all select seq, db_id, argv[2 + 2 * i], 'string', argv[3 + 2 * i], null from p, range(2) g(i) where cmd = 'MSET'
+  union all select seq, db_id, unnest(argv[2:]), 'remove', null, null from p where cmd = 'DEL'
+  union all select seq, db_id, argv[2], 'hash', argv[4], argv[3] from p where cmd = 'HSET'
+  union all select seq, db_id, argv[2], 'zset', argv[3], argv[4] from p where cmd = 'ZADD'
+  union all select seq, db_id, argv[2], 'list', argv[3], null from p where cmd = 'RPUSH'
+),
+b as (select db_id, k, max(seq) as bound from x where kind in ('string', 'remove') group by db_id, k),
+l as (select x.* from x left join b using (db_id, k) where bound is null or seq > bound or (seq = bound and kind = 'string'))"""
+
+
+def _space(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replay.keyspace(synth.entries(spark, sf_dir))
+
+
+@_query(f"{_REPLAY} select db_id, k as key, v as value from l where kind = 'string'")
+def replay_string(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _space(spark, sf_dir).where("type = 'string'")
+    return s.select("db_id", F.col("key").cast("string").alias("key"), F.col("string_val").cast("string").alias("value"))
+
+
+@_query(f"{_REPLAY}, h as (select db_id, k, f, arg_max(v, seq) as v from l where kind = 'hash' group by all) select db_id, k as key, string_agg(f || '=' || v, '|' order by f) as fields from h group by db_id, k")
+def replay_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _space(spark, sf_dir).where("type = 'hash'")
+    pairs = F.transform(F.map_entries("hash_val"), lambda e: F.concat(e["key"].cast("string"), F.lit("="), e["value"].cast("string")))
+    return s.select("db_id", F.col("key").cast("string").alias("key"), F.array_join(F.array_sort(pairs), "|").alias("fields"))
+
+
+@_query(f"{_REPLAY}, z as (select db_id, k, f, cast(arg_max(v, seq) as double) as v from l where kind = 'zset' group by all) select db_id, k as key, count(*) as members, sum(v) as total, max(v) as greatest from z group by db_id, k")
+def replay_zset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _space(spark, sf_dir).where("type = 'zset'")
+    score = F.map_values("zset_val")
+    total = F.aggregate(score, F.lit(0.0), lambda a, x: a + x)
+    return s.select("db_id", F.col("key").cast("string").alias("key"), F.size(score).cast("long").alias("members"), total.alias("total"), F.array_max(score).alias("greatest"))
+
+
+@_query(f"{_REPLAY} select db_id, k as key, string_agg(v, '|' order by seq) as elements from l where kind = 'list' group by db_id, k")
+def replay_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _space(spark, sf_dir).where("type = 'list'")
+    return s.select("db_id", F.col("key").cast("string").alias("key"), _joined("list_val").alias("elements"))
+
+
+@_query(f"{_REPLAY} select db_id, count(distinct k) as keys from l where kind <> 'remove' group by db_id")
+def replay_dbsize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replay.dbsize(_space(spark, sf_dir))
+
+
+@_query("select cmd as cmd_name, count(*) as n from p where cmd in ('XGROUP-CREATE', 'FOOCMD') group by cmd")
+def replay_unsupported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replay.unsupported(synth.entries(spark, sf_dir))
+
+
+def _two_spaces(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """What the SETs of even and of odd users' first halves leave: the last value by key, of small and large values."""
+    e = synth.entries(spark, sf_dir).where("cmd_name = 'SET'")
+    space = lambda rows: replay.keyspace(rows).select("db_id", "key", "string_val")
+    return space(e.where("seq % 3 <> 0")), space(e.where("seq % 3 <> 1"))
+
+
+_TWO = """t as (select db_id, argv[2] as k, arg_max(argv[3], seq) as v from p where cmd = 'SET' and seq % 3 <> 0 group by all),
+i as (select db_id, argv[2] as k, arg_max(argv[3], seq) as v from p where cmd = 'SET' and seq % 3 <> 1 group by all)"""
+
+
+@_query(f"with {synth.SQL}, {_TWO} select coalesce(t.db_id, i.db_id) as db_id, coalesce(t.k, i.k) as key, coalesce(t.v, i.v) as value from t full join i on t.db_id = i.db_id and t.k = i.k")
+def conflict_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = replay.restore_into(*_two_spaces(spark, sf_dir), "skip")
+    return out.select("db_id", F.col("key").cast("string").alias("key"), F.col("string_val").cast("string").alias("value"))
+
+
+@_query(f"with {synth.SQL}, {_TWO} select coalesce(t.db_id, i.db_id) as db_id, coalesce(t.k, i.k) as key, coalesce(i.v, t.v) as value from t full join i on t.db_id = i.db_id and t.k = i.k")
+def conflict_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = replay.restore_into(*_two_spaces(spark, sf_dir), "rewrite")
+    return out.select("db_id", F.col("key").cast("string").alias("key"), F.col("string_val").cast("string").alias("value"))
