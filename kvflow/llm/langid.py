@@ -5,147 +5,149 @@ nearest by out-of-place distance: the sum, over the document's own most frequent
 its place in the profile (profile_size where it isn't in it).
 
 Defined results: null, empty and letterless texts give ``und`` with score 0; ties between languages go to the first
-by name; ties between n-grams go to the one seen first in the document, in a profile to the first by code point.
+by name; ties between n-grams go to the shorter one, then the first by code point.
 An empty table, or one without labelled rows, gives ``und`` for every row.  Extra columns of the input are ignored.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNDETERMINED = "und"
-#: n-grams of 1 to ORDERS letters, words padded with one blank on each side.
-ORDERS = 3
 #: n-grams in a profile, of a language or a document.
 PROFILE_SIZE = 300
-#: More labels than this are refused: profiles (MAX_LANGUAGES x PROFILE_SIZE short strings) go to every task.
+#: More labels than this are refused: profiles (MAX_LANGUAGES x PROFILE_SIZE numbers) go to every task.
 MAX_LANGUAGES = 2000
-#: A partial count is sent on when it holds so many words.
-FLUSH_WORDS = 400_000
-
-_WORD = re.compile(r"[^\W\d_]+")
-
-
-def _letters(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
-
-
-def word_ngrams(word: str) -> list[str]:
-    """n-grams of one padded word, blank-only ones left out."""
-    padded = f" {word} "
-    found = list(word)
-    for n in range(2, ORDERS + 1):
-        found += [padded[i : i + n] for i in range(len(padded) - n + 1)]
-    return found
-
-
-class _Grams(dict):
-    """Cache of word_ngrams for words of usual length."""
-
-    def __missing__(self, word: str) -> list[str]:
-        grams = word_ngrams(word)
-        if len(word) <= 40:
-            if len(self) >= 200_000:
-                self.clear()
-            self[word] = grams
-        return grams
-
-
-def _count(counts: Counter, grams: _Grams) -> Counter:
-    total: Counter = Counter()
-    for word, n in counts.items():
-        for g in grams[word]:
-            total[g] += n
-    return total
-
-
-def document_profile(text: str | None, grams: _Grams | None = None, size: int = PROFILE_SIZE) -> list[str]:
-    grams = _Grams() if grams is None else grams
-    total: dict[str, int] = {}
-    seen = total.get
-    for word, n in Counter(w for w in _letters(text) if w).items():
-        for g in grams[word]:
-            total[g] = seen(g, 0) + n
-    return [g for g, _ in sorted(total.items(), key=_second, reverse=True)[:size]]
-
-
-def _second(item: tuple[str, int]) -> int:
-    return item[1]
-
-
-def nearest(profile: list[str], languages: list[tuple[str, dict[str, int]]], size: int = PROFILE_SIZE) -> tuple[str, float]:
-    """(language, score): score is 1 for a document whose n-grams all stand in their place, 0 if none is in the profile."""
-    if not profile or not languages:
-        return UNDETERMINED, 0.0
-    best, which = None, UNDETERMINED
-    for name, ranks in languages:
-        place = ranks.get
-        distance = 0
-        for i, g in enumerate(profile):
-            r = place(g, -1)
-            distance += abs(i - r) if r >= 0 else size
-        if best is None or distance < best:
-            best, which = distance, name
-    return which, max(0.0, 1.0 - best / (size * len(profile)))
-
-
-def fit(df: DataFrame, text: str = "text", lang: str = "lang") -> list[tuple[str, dict[str, int]]]:
+#: Characters that are counted at once.
+BLOCK = 1 << 20
+#: Code points below this can be letters; three of them and the order fit in 56 bits.
+CODE_BITS = 18
+CODES = 0x32400
+
+
+def _letters() -> np.ndarray:
+    """The code point itself for each letter, 0 for anything else."""
+    return np.array([i if chr(i).isalpha() else 0 for i in range(CODES)], np.int64)
+
+
+class Alphabet:
+    """n-grams of a text as numbers.  Words are runs of letters, lower-cased, with one blank on each side."""
+
+    table: np.ndarray | None = None
+
+    def grams(self, text: str | None) -> np.ndarray:
+        """Letters, and pairs and triples of letters and blanks inside one padded word, in text order by kind."""
+        if not text:
+            return np.zeros(0, np.int64)
+        if Alphabet.table is None:
+            Alphabet.table = _letters()
+        code = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+        c = np.zeros(len(code) + 2, np.int64)
+        c[1:-1] = Alphabet.table[np.minimum(code, CODES - 1)]
+        c = c[np.r_[True, (c[1:] != 0) | (c[:-1] != 0)]]
+        pairs = (c[:-1] << CODE_BITS) | c[1:]
+        inside = c[1:-1] != 0
+        triples = (pairs[:-1] << CODE_BITS) | c[2:]
+        return np.concatenate([c[c != 0], (pairs | (1 << 3 * CODE_BITS))[pairs != 0], (triples | (2 << 3 * CODE_BITS))[inside]])
+
+
+def _ranked(grams: np.ndarray, size: int) -> np.ndarray:
+    """The most frequent n-grams, the smaller number first among equals."""
+    found, n = np.unique(grams, return_counts=True)
+    return found[np.argsort(-n, kind="stable")[:size]]
+
+
+class Profiles:
+    """Language names in order, and each language's n-grams in order."""
+
+    def __init__(self, ranked: dict[str, list[int]], size: int = PROFILE_SIZE) -> None:
+        self.names, self.size = sorted(ranked), size
+        self.known = np.unique(np.array([g for n in self.names for g in ranked[n]], np.int64))
+        self.place = np.full((len(self.names), len(self.known) + 1), -1, np.int64)
+        for i, n in enumerate(self.names):
+            self.place[i, np.searchsorted(self.known, np.array(ranked[n], np.int64))] = np.arange(len(ranked[n]))
+
+    def nearest(self, grams: np.ndarray) -> tuple[str, float]:
+        """(language, score): score is 1 for a document whose n-grams all stand in their place, 0 if none is in the profile."""
+        if not len(grams) or not self.names:
+            return UNDETERMINED, 0.0
+        own = _ranked(grams, self.size)
+        at = np.searchsorted(self.known, own)
+        at[(at == len(self.known)) | (self.known[np.minimum(at, len(self.known) - 1)] != own)] = len(self.known)
+        place = self.place[:, at]
+        distance = np.where(place < 0, self.size, np.abs(place - np.arange(len(own)))).sum(axis=1)
+        best = int(distance.argmin())
+        return self.names[best], max(0.0, 1.0 - float(distance[best]) / (self.size * len(own)))
+
+
+def fit(df: DataFrame, text: str = "text", lang: str = "lang") -> Profiles:
     """Profiles from all rows of df whose lang isn't null: partial n-gram counts per task, summed by (language, n-gram).
 
     Only the first PROFILE_SIZE n-grams of each language reach the driver.
     """
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, Counter] = {}
-        grams = _Grams()
-
-        def flush() -> pa.RecordBatch:
-            rows = [(name, g, n) for name, c in held.items() for g, n in _count(c, grams).items()]
-            held.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.int64())],
-                ["language", "gram", "n"],
-            )
+        alphabet = Alphabet()
+        open_: dict[str, list[np.ndarray]] = {}
+        held: dict[str, int] = {}
+        total: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+        def close(name: str) -> None:
+            found, n = np.unique(np.concatenate(open_.pop(name)), return_counts=True)
+            held[name] = 0
+            if name in total:
+                found, at = np.unique(np.concatenate([total[name][0], found]), return_inverse=True)
+                n = np.bincount(at, weights=np.concatenate([total[name][1], n])).astype(np.int64)
+            total[name] = found, n
+
+        def ready() -> Iterator[pa.RecordBatch]:
+            for name, (found, n) in total.items():
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(n), pa.string()), pa.array(found), pa.array(n.astype(np.int64))], ["language", "gram", "n"])
+            total.clear()
 
         for batch in batches:
-            for t, name in zip(batch.column(0), batch.column(1), strict=True):
-                held.setdefault(name.as_py(), Counter()).update(_letters(t.as_py()))
-            if sum(map(len, held.values())) > FLUSH_WORDS:
-                yield flush()
-        if held:
-            yield flush()
+            for t, name in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                grams = alphabet.grams(t.as_py())
+                open_.setdefault(name, []).append(grams)
+                held[name] = held.get(name, 0) + len(grams)
+                if held[name] > 3 * BLOCK:
+                    close(name)
+            for name in list(open_):
+                close(name)
+            if sum(len(x[0]) for x in total.values()) > BLOCK:
+                yield from ready()
+        yield from ready()
 
     labelled = df.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("language")).where(
         "text is not null and language is not null"
     )
-    counts = labelled.mapInArrow(partial, "language string, gram string, n long").groupBy("language", "gram").agg(F.sum("n").alias("n"))
+    counts = labelled.mapInArrow(partial, "language string, gram long, n long").groupBy("language", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("language").orderBy(F.desc("n"), "gram")
     top = counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PROFILE_SIZE)
     limit = MAX_LANGUAGES * PROFILE_SIZE
     rows = top.select("language", "gram", "place").limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(f"more than {MAX_LANGUAGES} languages are labelled")
-    profiles: dict[str, dict[str, int]] = {}
+    ranked: dict[str, dict[int, int]] = {}
     for r in rows:
-        profiles.setdefault(r.language, {})[r.gram] = r.place - 1
-    return sorted(profiles.items())
+        ranked.setdefault(r.language, {})[r.place] = r.gram
+    return Profiles({name: [g[i] for i in sorted(g)] for name, g in ranked.items()})
 
 
-def predict(df: DataFrame, profiles: list[tuple[str, dict[str, int]]], keep: list[str], text: str = "text") -> DataFrame:
+def predict(df: DataFrame, profiles: Profiles, keep: list[str], text: str = "text") -> DataFrame:
     """The columns keep of df, with lang_pred and score."""
     shared = df.sparkSession.sparkContext.broadcast(profiles)
     fields = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        languages, grams = shared.value, _Grams()
+        profiles_here, alphabet = shared.value, Alphabet()
         for batch in batches:
-            got = [nearest(document_profile(t.as_py(), grams), languages) for t in batch.column(len(keep))]
+            got = [profiles_here.nearest(alphabet.grams(t.as_py())) for t in batch.column(len(keep))]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(keep)], pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
                 [*keep, "lang_pred", "score"],
