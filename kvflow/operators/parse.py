@@ -24,7 +24,7 @@ CASE WHEN s.keyword IS NULL THEN s.begin
      ELSE coalesce(array_max(filter(sequence(0, size(argv) - 1), i -> i BETWEEN 1 AND size(argv) + s.begin AND upper(cast(argv[i] AS string)) = cast(s.keyword AS string))) + 1, size(argv))
 END"""
 _END = """
-CASE WHEN x.s.count >= 0 THEN x.b + x.s.first + (least(try_cast(cast(get(argv, x.b + x.s.count) AS string) AS int), size(argv)) - 1) * x.s.step
+CASE WHEN x.s.count >= 0 THEN x.b + x.s.first + (cast(greatest(0L, least(cast(size(argv) AS bigint), coalesce(try_cast(cast(get(argv, x.b + x.s.count) AS string) AS bigint), 0L))) AS int) - 1) * x.s.step
      WHEN x.s.last >= 0 THEN x.b + x.s.last
      WHEN x.s.limit > 1 THEN x.b + (size(argv) - x.b) div x.s.limit - 1
      ELSE size(argv) + x.s.last
