@@ -32,8 +32,10 @@ SEED = 42
 ORDER_ROWS = 200_000
 #: Sources go through the driver (a name and three numbers each) and into one array of shares.
 MAX_SOURCES = 100_000
-#: The permutation walks back into range at most this often; it fails loudly, never silently.
-WALK = 64
+#: Rounds of the permutation.
+ROUNDS = 10
+#: Slots that one task fills, about.
+TASK_SLOTS = 100_000
 
 
 def targets(sizes: dict[str | None, int], weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST_PASSES) -> dict[str | None, float]:
@@ -55,34 +57,20 @@ def targets(sizes: dict[str | None, int], weights: tuple[float, ...] = WEIGHTS,
     return got
 
 
-def _permuted(index: Column, n: Column, key: Column) -> Column:
-    """Where index goes under a keyed permutation of 0 to n - 1: rounds of odd multiplication and shifted xor on the least
-    power of two that holds n, repeated until the value is below n (cycle walking)."""
-    bits = F.greatest(F.length(F.conv(F.greatest(n - 1, F.lit(1)).cast("string"), 10, 2)), F.lit(2))
-    mask = F.pow(F.lit(2.0), bits).cast("long") - 1
-    half = F.greatest((bits / 2).cast("int"), F.lit(1))
-    odd1 = key.bitwiseAND(0xFFFFF).bitwiseOR(1)
-    odd2 = F.shiftrightunsigned(key, 20).bitwiseAND(0xFFFFF).bitwiseOR(1)
-    plus = F.shiftrightunsigned(key, 40)
-    p = F.struct(mask.alias("mask"), half.alias("half"), odd1.alias("odd1"), odd2.alias("odd2"), plus.alias("plus"), n.alias("n"))
-
-    def shifted(x: Column, half: Column) -> Column:
-        # x xor (x >> half), with a column as the distance
-        return x.bitwiseXOR((x / F.pow(F.lit(2.0), half)).cast("long"))
-
-    def mix(x: Column, q: Column) -> Column:
-        x = (x * q["odd1"] + q["plus"]).bitwiseAND(q["mask"])
-        x = shifted(x, q["half"])
-        x = (x * q["odd2"] + q["plus"]).bitwiseAND(q["mask"])
-        return shifted(x, q["half"])
-
-    start = F.struct(index.cast("long").alias("x"), F.lit(0).alias("step"), p.alias("p"))
-    walked = F.aggregate(
-        F.sequence(F.lit(1), F.lit(WALK)),
-        start,
-        lambda s, i: F.when((s["step"] > 0) & (s["x"] < s["p"]["n"]), s).otherwise(F.struct(mix(s["x"], s["p"]).alias("x"), i.alias("step"), s["p"].alias("p"))),
-    )
-    return F.when(n <= 1, F.lit(0).cast("long")).when(walked["x"] < n, walked["x"]).otherwise(F.raise_error(F.lit("permutation did not settle")).cast("long"))
+def _permuted(index: Column, n: Column, key: Column, backwards: bool = False) -> Column:
+    """Where index goes under a keyed permutation of 0 to n - 1 (backwards: where it comes from).
+
+    Swap-or-not rounds: each pairs x with a keyed partner k - x (mod n) and swaps the two or not by a hash of the pair,
+    so a round is its own inverse and stays below n.
+    """
+
+    def step(x: Column, r: Column) -> Column:
+        partner = F.pmod(F.pmod(F.xxhash64(key, r), n) - x, n)
+        swap = F.xxhash64(key, r, F.greatest(x, partner)).bitwiseAND(1) == 1
+        return F.when(swap, partner).otherwise(x)
+
+    rounds = F.sequence(F.lit(ROUNDS), F.lit(1), F.lit(-1)) if backwards else F.sequence(F.lit(1), F.lit(ROUNDS))
+    return F.when(n > 1, F.aggregate(rounds, index.cast("long"), step)).otherwise(F.lit(0).cast("long"))
 
 
 def _source_key(s: Column) -> Column:
@@ -122,7 +110,9 @@ class Mix:
             table.append((s, size, want[s], take, n, passes, rest, min(uses, (passes + 1) * n)))
         self.table = table
         schema = "source string, source_size long, target double, take long, n_blocks long, passes long, rest long, uses long"
-        self.sources = self.spark.createDataFrame(table, schema)
+        sources = self.spark.createDataFrame(table, schema).withColumn("key", _source_key(F.col("source")))
+        last = F.when(F.col("n_blocks") > 0, _permuted(F.col("n_blocks") - 1, F.col("n_blocks"), F.col("key"), backwards=True))
+        self.sources = sources.withColumn("last_index", last)
 
     def placed(self) -> DataFrame:
         """Documents with the offset of their first word in their source."""
@@ -175,19 +165,20 @@ class Mix:
         return counts.select("shard", "source", "n", (F.sum("n").over(order) - F.col("n")).alias("first"))
 
     def slots(self) -> DataFrame:
-        """shard, slot, source, block, words: a row for each use of a block, words counted from its start."""
-        d, s = self.drawn(), F.broadcast(self.sources.withColumnRenamed("source", "s"))
+        """shard, source, use, block, words: a row for each use of a block, words counted from its start."""
+        d = self.drawn()
+        # Few rows stand for many slots: deal them out by the slots there are, not by their own size.
+        tasks = -(-sum(t[7] for t in self.table) // TASK_SLOTS)
+        d = d.repartition(max(1, tasks))
+        s = F.broadcast(self.sources.withColumnRenamed("source", "s"))
         each = d.join(s, d.source.eqNullSafe(F.col("s"))).select(
-            "shard", "source", "source_size", "n_blocks", "passes", "rest", "first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("i")
+            "shard", "source", "source_size", "n_blocks", "passes", "rest", "key", "last_index", "first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("i")
         )
         each = each.withColumn("use", F.col("first") + F.col("i")).withColumn("index", F.col("use") % F.col("n_blocks"))
-        each = each.withColumn("key", _source_key(F.col("source"))).withColumn("block", _permuted(F.col("index"), F.col("n_blocks"), F.col("key")))
-        length = F.least(F.lit(BLOCK), F.col("source_size") - F.col("block") * BLOCK)
+        each = each.withColumn("block", _permuted(F.col("index"), F.col("n_blocks"), F.col("key")))
+        each = each.withColumn("length", F.least(F.lit(BLOCK), F.col("source_size") - F.col("block") * BLOCK))
         # Words of this pass before index: BLOCK each, but for the short last block where it came earlier.
-        each = each.withColumn("length", length)
         short = F.col("n_blocks") * BLOCK - F.col("source_size")
-        last = each.where("block = n_blocks - 1").select(F.col("source").alias("ls"), F.col("index").alias("last_index")).distinct()
-        each = each.join(F.broadcast(last), each.source.eqNullSafe(F.col("ls")), "left").drop("ls")
         before = F.col("index") * BLOCK - F.when(F.col("last_index") < F.col("index"), short).otherwise(0)
         final = (F.col("use") / F.col("n_blocks")).cast("long") >= F.col("passes")
         words = F.when(final, F.greatest(F.lit(0), F.least("length", F.col("rest") - before))).otherwise(F.col("length"))
