@@ -430,3 +430,19 @@ def conflict_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def conflict_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = replay.restore_into(*_two_spaces(spark, sf_dir), "rewrite")
     return out.select("db_id", F.col("key").cast("string").alias("key"), F.col("string_val").cast("string").alias("value"))
+
+
+@_query(
+    "select cmd as cmd_name, count(*) as n from (select 'HSET' as cmd from lineitem where l_returnflag <> 'R' "
+    "union all select cmd from p where len(keys) = 1 and not starts_with(keys[1], 'temp:')) group by cmd"
+)
+def parse_filter_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole native path over events and lineitem: parse, filter, route by slot, count what goes out."""
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").where("l_returnflag <> 'R'")
+    key = F.concat(F.lit("li:"), F.col("l_orderkey").cast("string"), F.lit(":"), F.col("l_linenumber").cast("string"))
+    hset = F.array(*[c.cast("binary") for c in (F.lit("hset"), key, F.lit("qty"), F.col("l_quantity").cast("string"))])
+    rows = items.select(F.lit("lineitem").alias("source_id"), F.col("l_orderkey").cast("long").alias("seq"), (F.col("l_suppkey") % 16).cast("int").alias("db_id"), hset.alias("argv"))
+    entries = parse(synth.raw(spark, sf_dir).unionByName(rows)).where("size(keys) = 1")
+    kept = filters.apply_filters(entries, FilterConfig(block_key_prefix=("temp:",)))
+    routed = routing.route(kept, routing.even_routes(spark, NODES)).where("node is not null")
+    return routed.groupBy("cmd_name").agg(F.count("*").alias("n"))
