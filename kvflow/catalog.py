@@ -9,9 +9,10 @@ from the begin, or from the end where negative; limit n > 1 takes the first 1/n
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 from functools import cache
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Commands whose first argument is part of their name.
@@ -152,13 +153,12 @@ def commands() -> dict[str, tuple[str, tuple[KeySpec, ...]]]:
     return found
 
 
-SPEC_TYPE = "struct<begin:int,keyword:binary,last:int,step:int,limit:int,count:int,first:int>"
+_SPEC = pa.struct([("begin", pa.int32()), ("keyword", pa.binary()), *((f, pa.int32()) for f in ("last", "step", "limit", "count", "first"))])
 
 
 def catalog_frame(spark: SparkSession) -> DataFrame:
-    """cmd_name, group, specs: a few hundred rows, always small enough to broadcast."""
-    rows = [
-        (name, group, [(s.begin, s.keyword.encode() if s.keyword else None, s.last, s.step, s.limit, s.count, s.first) for s in specs])
-        for name, (group, specs) in sorted(commands().items())
-    ]
-    return spark.createDataFrame(rows, f"cmd_name string, group string, specs array<{SPEC_TYPE}>")
+    """cmd_name, group, specs: a few hundred rows, always small enough to broadcast.  Arrow makes it a constant of the plan."""
+    known = sorted(commands().items())
+    specs = [[asdict(s) | {"keyword": s.keyword.encode() if s.keyword else None} for s in found] for _, (_, found) in known]
+    columns = [pa.array([n for n, _ in known]), pa.array([g for _, (g, _) in known]), pa.array(specs, pa.list_(_SPEC))]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, ["cmd_name", "group", "specs"]))
