@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kvflow.functions import resp
+from kvflow.functions import resp, snapshot
 from kvflow.operators import counters, filters, ordering, replay, routing, transform, values
 from kvflow.operators.filters import FilterConfig
 from kvflow.operators.parse import parse
 from kvflow.plans import synth
+from kvflow.sources import aof, rdb
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -446,3 +447,39 @@ def parse_filter_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = filters.apply_filters(entries, FilterConfig(block_key_prefix=("temp:",)))
     routed = routing.route(kept, routing.even_routes(spark, NODES)).where("node is not null")
     return routed.groupBy("cmd_name").agg(F.count("*").alias("n"))
+
+
+_LEFT = f"""{_REPLAY},
+s as (select db_id, 'set|' || k || '|' || v as line from l where kind = 'string'),
+li as (select db_id, 'rpush|' || k || '|' || v as line from l where kind = 'list'),
+h as (select db_id, 'hset|' || k || '|' || f || '|' || arg_max(v, seq) as line from l where kind = 'hash' group by db_id, k, f),
+z as (select db_id, 'zadd|' || k || '|' || arg_max(v, seq) || '|' || f as line from l where kind = 'zset' group by db_id, k, f)"""
+
+
+@_query(f"{_LEFT} select * from s union all select * from li union all select * from h union all select * from z")
+def rdb_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keyspace as snapshot files, decoded again into commands."""
+    space = _space(spark, sf_dir)
+    rows = rdb.decode_files(snapshot.files(space, 50), rdb.Options(now_ms=0))
+    return rows.select("db_id", _joined("argv").alias("line"))
+
+
+@_query("select cast(seq // 500 as bigint) as file, db_id, array_to_string(argv, '|') as line from p")
+def aof_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log as wire text with a SELECT before each command, decoded again with SELECT absorbed."""
+    raw = synth.raw(spark, sf_dir)
+    select = F.array(F.lit(b"SELECT"), F.col("db_id").cast("string").cast("binary"))
+    wire = F.concat(resp.encoded(select), resp.encoded(F.col("argv")))
+    parts = raw.select((F.col("seq") / 500).cast("long").alias("file"), F.struct("seq", wire.alias("w")).alias("x")).groupBy("file")
+    text = F.aggregate("ws", F.lit(b""), lambda acc, x: F.concat(acc, x["w"]))
+    files = parts.agg(F.array_sort(F.collect_list("x")).alias("ws")).select(F.col("file").cast("string").alias("path"), text.alias("content"))
+    rows = aof.decode_files(files)
+    return rows.select(F.col("source_id").cast("long").alias("file"), "db_id", _joined("argv").alias("line"))
+
+
+@_query("select seq, db_id, array_to_string(argv, '|') as line from p where cmd <> 'FOOCMD'")
+def binary_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replication noise among the commands: FOOCMD reads as REPLCONF and goes."""
+    raw = synth.raw(spark, sf_dir)
+    noisy = F.when(F.get("argv", 0).cast("string") == "FOOCMD", F.array(F.lit(b"replconf"), F.lit(b"ack"))).otherwise(F.col("argv"))
+    return filters.drop_noise(raw.withColumn("argv", noisy)).select("seq", "db_id", _joined("argv").alias("line"))

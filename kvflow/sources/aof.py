@@ -184,7 +184,11 @@ def read_aof(spark: SparkSession, path: str, until: int = 0, absorb: bool = True
 
     absorb: SELECT rows go and set db_id, as in a replication stream.
     """
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    return decode_files(spark.read.format("binaryFile").load(path), until, absorb)
+
+
+def decode_files(files: DataFrame, until: int = 0, absorb: bool = True) -> DataFrame:
+    """Commands of logs in a table of path and content."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import io
@@ -193,7 +197,7 @@ def read_aof(spark: SparkSession, path: str, until: int = 0, absorb: bool = True
             for name, content in zip(b.column(0), b.column(1), strict=True):
                 yield from _batches(name.as_py(), read_log(io.BytesIO(content.as_py()), 0, until))
 
-    rows = files.mapInArrow(run, SCHEMA)
+    rows = files.select("path", "content").mapInArrow(run, SCHEMA)
     return _absorbed(rows) if absorb else rows
 
 
@@ -231,6 +235,12 @@ def read_multipart(spark: SparkSession, folder: str, manifest: str, until: int =
     return _absorbed(rows) if absorb else rows
 
 
+def total_size(spark: SparkSession, folder: str, parts: list[Part]) -> int:
+    """Bytes of all parts."""
+    found = spark.read.format("binaryFile").load([f"{folder}/{p.file}" for p in parts])
+    return found.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
 @dataclass
 class _File(InputPartition):
     path: str

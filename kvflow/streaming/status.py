@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import logging
 import threading
 import time
 from collections import Counter
@@ -13,6 +14,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 
+log = logging.getLogger("kvflow")
+
+
+def human_bytes(n: float, base: int = 1024) -> str:
+    """A size in units of 1024 (KiB) or 1000 (kB)."""
+    units = ["B", "KiB", "MiB", "GiB", "TiB", "PiB"] if base == 1024 else ["B", "kB", "MB", "GB", "TB", "PB"]
+    i = 0
+    while n >= base and i < len(units) - 1:
+        n, i = n / base, i + 1
+    return f"{n:.1f} {units[i]}" if i else f"{n:.0f} B"
+
+
 class Status:
     """Counts what batches read and wrote."""
 
@@ -48,6 +61,24 @@ class Status:
             self.progress = progress
             self.quiet = self.quiet + 1 if not progress.get("numInputRows") else 0
 
+    def line(self) -> str:
+        """For the log."""
+        d = self.document()
+        total = d["total_entries_count"]
+        return f"read {total['read_count']} ({total['read_ops']:.0f}/s), written {total['write_count']} ({total['write_ops']:.0f}/s), consistent {d['consistent']}"
+
+    def log_every(self, seconds: float) -> threading.Event:
+        """Log line() again and again until the event that is returned is set."""
+        stop = threading.Event()
+
+        def run() -> None:
+            while not stop.wait(seconds):
+                self.tick()
+                log.info(self.line())
+
+        threading.Thread(target=run, daemon=True).start()
+        return stop
+
     def document(self) -> dict:
         with self.lock:
             _, _, _, read_rate, write_rate = self.rates

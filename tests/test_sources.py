@@ -6,15 +6,18 @@ import urllib.request
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from kvflow import config
+from kvflow.functions import snapshot
 from kvflow.functions.resp import encode
+from kvflow.operators import replay
 from kvflow.operators.parse import parse
 from kvflow.plans import pipeline
 from kvflow.sinks import files, server
 from kvflow.sources import aof, rdb, replication, scan
 from kvflow.sources.client import Address, Connection, shard_addresses
-from kvflow.streaming.status import Status, serve
+from kvflow.streaming.status import Status, human_bytes, serve
 from tests import encode as e
 from tests.fakeserver import FakeServer
 
@@ -187,7 +190,7 @@ def test_notifications(servers):
 
 def test_scanned_as_commands(spark):
     rows = [("s", 0, 0, b"a", rdb.dump_value(0, e.string(b"1")), -1), ("s", 1, 0, b"gone", None, -2), ("s", 2, 0, b"big", rdb.dump_value(0, e.string(b"x" * 99)), 4)]
-    got = texts(scan.as_commands(spark.createDataFrame(rows, scan.SCHEMA), 50, True).withColumn("argv", __import__("pyspark").sql.functions.expr("slice(argv, 1, 2)")), "seq", "ordinal")
+    got = texts(scan.as_commands(spark.createDataFrame(rows, scan.SCHEMA), 50, True).withColumn("argv", F.expr("slice(argv, 1, 2)")), "seq", "ordinal")
     assert got == [["RESTORE", "a"], ["DEL", "gone"], ["set", "big"], ["pexpire", "big"]]
 
 
@@ -220,3 +223,24 @@ def test_function_run(spark, tmp_path):
     cfg = config.parse(f'[rdb_reader]\nfilepath = "{tmp_path}/x.rdb"\n[filter]\nblock_key_prefix = ["new:"]\nfunction = """{source}"""')
     out = pipeline.transform_entries(pipeline.read_batch(spark, cfg), cfg)
     assert texts(out) == [["SET", "new:a", "1"], ["SET", "new:b", "2"]] and {r.db_id for r in out.collect()} == {2}
+
+
+def test_written_snapshots(spark):
+    commands = ["SET s " + "v" * 70, "SET big " + "w" * 20000, "RPUSH l a b a", "SADD m x y", "HSET h f 1 g 2", "ZADD z 1.5 a inf b -3 c", "PEXPIREAT s 4398046511104"]
+    rows = [("s", i, i % 2 * 5 if c.startswith("SET big") else 3, [w.encode() for w in c.split()]) for i, c in enumerate(commands)]
+    space = replay.keyspace(parse(spark.createDataFrame(rows, "source_id string, seq long, db_id int, argv array<binary>"), False))
+    back = rdb.decode_files(snapshot.files(space, 2), rdb.Options(now_ms=0))
+    again = replay.keyspace(parse(back.where("argv[0] <> cast('pexpire' as binary)").select("source_id", "seq", "db_id", "argv"), False))
+    columns = ["db_id", "key", "type", "string_val", "list_val", "set_val", "hash_val", "zset_val"]
+    assert sorted(map(str, again.select(columns).collect())) == sorted(map(str, space.select(columns).collect()))
+    assert {r.expire_at_ms for r in back.where("argv[1] = cast('s' as binary)").collect()} == {4398046511104}
+
+
+def test_sizes_and_lines(spark, tmp_path):
+    (tmp_path / "p.aof").write_bytes(b"x" * 1536)
+    assert aof.total_size(spark, str(tmp_path), [aof.Part("p.aof", 1, "i")]) == 1536
+    assert human_bytes(1536) == "1.5 KiB" and human_bytes(1500, 1000) == "1.5 kB" and human_bytes(3) == "3 B"
+    status = Status()
+    status.add({"SET": 3, "DEL": 1}, {"SET": 2})
+    status.tick()
+    assert status.line().startswith("read 4") and "written 2" in status.line()
