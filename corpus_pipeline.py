@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kvflow.llm import decontaminate, langid, mixing, sharding, simhash
-from kvflow.llm.common import ROW_KEY, materialise, table, with_row_key
+from kvflow.llm.common import ROW_KEY, discard, materialise, table, with_row_key
 
 #: Languages the corpus is for; None takes every language that training rows name.
 LANGUAGES: tuple[str, ...] | None = None
@@ -76,9 +76,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """Two copies of the corpus at most stand in the shared folder at a time."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        if before is not None:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

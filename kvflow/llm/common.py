@@ -63,3 +63,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/kvflow/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the files of a table that materialise() wrote; nothing that is still to be read may depend on them."""
+    spark = df.sparkSession
+    for name in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        if "/kvflow/" in name:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
