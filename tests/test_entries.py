@@ -291,7 +291,10 @@ def test_values(spark):
 
 def test_order(spark):
     df = raw(spark, "set a 1", "select 3", "set b 1", "SELECT 0", "set c 1")
-    assert [(r.seq, r.db_id) for r in ordering.absorb_select(df, seed=7).orderBy("seq").collect()] == [(0, 7), (2, 3), (4, 0)]
+    for stretch in (1, 2, 3, 100):
+        assert [(r.seq, r.db_id) for r in ordering.absorb_select(df, 7, stretch).orderBy("seq").collect()] == [(0, 7), (2, 3), (4, 0)]
+    odd = raw(spark, "select x", "set a 1", "select 4", *["set b 1"] * 5, "select 2 3", "set c 1")
+    assert [r.db_id for r in ordering.absorb_select(odd, 1, 2).orderBy("seq").collect()] == [1, 4, 4, 4, 4, 4, 4, 4]
     rows = spark.createDataFrame([("s", 0, None), ("s", 1, 10), ("s", 2, None), ("s", 3, 12), ("s", 4, 9), ("t", 0, 5)], "source_id string, seq long, ts long")
     assert sorted((r.source_id, r.seq) for r in ordering.cut_after(rows, 11).collect()) == [("s", 0), ("s", 1), ("s", 2), ("t", 0)]
     assert ordering.cut_after(rows, 0).count() == 6
