@@ -23,8 +23,10 @@ UNDETERMINED = "und"
 PROFILE_SIZE = 300
 #: More labels than this are refused: profiles (MAX_LANGUAGES x PROFILE_SIZE numbers) go to every task.
 MAX_LANGUAGES = 2000
-#: Characters that are counted at once.
-BLOCK = 1 << 20
+#: n-grams of a language that are sorted and counted at once, and distinct n-grams held before they are sent on.
+BLOCK, HELD = 1 << 18, 1 << 20
+#: Rows of a batch that goes back to the JVM.
+ROWS = 1000
 #: Code points below this can be letters; three of them and the order fit in 56 bits.
 CODE_BITS = 18
 CODES = 0x32400
@@ -115,11 +117,11 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang") -> Profiles:
                 grams = alphabet.grams(t.as_py())
                 open_.setdefault(name, []).append(grams)
                 held[name] = held.get(name, 0) + len(grams)
-                if held[name] > 3 * BLOCK:
+                if held[name] > BLOCK:
                     close(name)
             for name in list(open_):
                 close(name)
-            if sum(len(x[0]) for x in total.values()) > BLOCK:
+            if sum(len(x[0]) for x in total.values()) > HELD:
                 yield from ready()
         yield from ready()
 
@@ -146,7 +148,7 @@ def predict(df: DataFrame, profiles: Profiles, keep: list[str], text: str = "tex
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiles_here, alphabet = shared.value, Alphabet()
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             got = [profiles_here.nearest(alphabet.grams(t.as_py())) for t in batch.column(len(keep))]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(keep)], pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],

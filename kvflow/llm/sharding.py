@@ -27,8 +27,8 @@ BINS = 4096
 DIMENSIONS = ("n_chars", "source", "lang")
 #: Bytes a row counts for besides its text.
 ROW_BYTES = 8
-#: Rows that one task numbers, about.
-SLOT_ROWS = 500_000
+#: Rows and bytes that one task numbers, about.
+SLOT_ROWS, SLOT_BYTES = 500_000, 16 << 20
 
 
 def _scaled(df: DataFrame, names: list[str]) -> list[Column]:
@@ -158,7 +158,7 @@ def assign(
             tree.split(n, *cuts.get(n, (0, -1)))
         depth += 1
     shard = _lookup(tree.first, tree.node(names, depth)).cast("int").alias("shard")
-    placed = rows.select("tie", shard)
+    placed = rows.select("tie", "size", shard)
     final = (described if carry else rows).select("id", "size", "text_crc32", "tie", shard, *(["carried"] if carry else []))
     return _slotted(final, placed).select(
         F.col("id").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
@@ -167,12 +167,13 @@ def assign(
 
 
 def _slotted(rows: DataFrame, placed: DataFrame) -> DataFrame:
-    """Number the rows of each shard from 0, in parts of about SLOT_ROWS: no task holds a whole shard.
+    """Number the rows of each shard from 0, in parts of about SLOT_ROWS and SLOT_BYTES: no task holds a whole shard.
 
-    placed: tie and shard of the same rows, cheap to read.
+    placed: tie, size and shard of the same rows, cheap to read.
     """
-    most = placed.groupBy("shard").count().agg(F.max("count")).first()[0] or 0
-    part = F.pmod(F.col("tie"), F.lit(max(1, -(-most // SLOT_ROWS)))).cast("int").alias("part")
+    most = placed.groupBy("shard").agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).agg(F.max("n"), F.max("bytes")).first()
+    parts = max(1, -(-(most[0] or 0) // SLOT_ROWS), -(-(most[1] or 0) // SLOT_BYTES))
+    part = F.pmod(F.col("tie"), F.lit(parts)).cast("int").alias("part")
     sums = placed.groupBy("shard", part).count()
     starts = sums.select("shard", "part", (F.sum("count").over(Window.partitionBy("shard").orderBy("part")) - F.col("count")).alias("start"))
     own = Window.partitionBy("shard", "part").orderBy("id", "tie")
