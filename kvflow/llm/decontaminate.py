@@ -24,6 +24,9 @@ WINDOW = 10
 K = 6
 #: Grams whose windows share one kept gram.
 SPAN = WINDOW - K + 1
+#: Bits of a gram's place: any array's.
+PLACE_BITS = 31
+PLACE_MASK = (1 << PLACE_BITS) - 1
 BROADCAST_ROWS = 500_000
 
 
@@ -31,22 +34,27 @@ def tokens(text: Column) -> Column:
     return words(lower_ascii(text), NON_WORD)
 
 
-def _gram_hashes(col: str) -> Column:
-    """Hash of the K-gram at each place of the words in col; empty where there are fewer than WINDOW words."""
-    places = F.sequence(F.lit(1), F.greatest(F.size(col) - K + 1, F.lit(1)))
-    return F.when(F.size(col) >= WINDOW, F.transform(places, lambda i: F.xxhash64(F.slice(col, i, K)))).otherwise(F.array().cast("array<bigint>"))
+def winnowed(col: str) -> Column:
+    """The kept grams of the words in col, each once: in every SPAN consecutive grams, the last of those with the least hash.
+
+    A kept gram is one number: the upper 33 bits of its hash, then its place counted from the end of the range, so the
+    least number of a window is the least hash and, among equals, the last place.  Empty under WINDOW words.
+    """
+    grams = F.size(col) - (K - 1)
+    places = F.sequence(F.lit(0), F.greatest(grams - 1, F.lit(0)))
+    keyed = F.transform(places, lambda i: F.xxhash64(F.slice(col, i + 1, K)).bitwiseAND(~PLACE_MASK).bitwiseOR(F.lit(PLACE_MASK) - i))
+    starts = F.sequence(F.lit(1), F.greatest(grams - SPAN + 1, F.lit(1)))
+    # One level of nesting holds the numbers, so that they are made once.
+    held = F.transform(F.array(keyed), lambda h: F.array_distinct(F.transform(starts, lambda s: F.array_min(F.slice(h, s, SPAN)))))
+    return F.when(F.size(col) >= WINDOW, F.flatten(held)).otherwise(F.array().cast("array<bigint>"))
 
 
-def winnowed(hashes: str) -> Column:
-    """Places (from 0) of the kept grams, each once: in every SPAN consecutive grams, the last of those with the least hash."""
-    starts = F.sequence(F.lit(0), F.greatest(F.size(hashes) - SPAN, F.lit(0)))
+def _place(kept: str) -> Column:
+    return (F.lit(PLACE_MASK) - F.col(kept).bitwiseAND(PLACE_MASK)).cast("int")
 
-    def pick(s: Column) -> Column:
-        window = F.slice(hashes, s + 1, SPAN)
-        least = F.array_min(window)
-        return (s + SPAN - F.array_position(F.reverse(window), least)).cast("int")
 
-    return F.when(F.size(hashes) >= SPAN, F.array_distinct(F.transform(starts, pick))).otherwise(F.array().cast("array<int>"))
+def _gram(kept: str) -> Column:
+    return F.shiftright(kept, PLACE_BITS)
 
 
 def _windows(items: DataFrame, item_id: str, text: str) -> tuple[DataFrame, DataFrame]:
@@ -64,8 +72,8 @@ def _occurring(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(tokenised rows, occurrences: row key, start, n, window; owned: item_id, window)."""
     long_items, short_items = _windows(items, item_id, item_text)
-    kept = long_items.withColumn("h", _gram_hashes("w")).select(F.explode(winnowed("h")).alias("at"), "h")
-    grams = materialise(kept.select(F.element_at("h", F.col("at") + 1).alias("gram")).distinct(), "grams")
+    kept = long_items.select(F.explode(winnowed("w")).alias("kept"))
+    grams = materialise(kept.select(_gram("kept").alias("gram")).distinct(), "grams")
     anchor = F.array_max(F.transform("w", lambda x, i: F.struct(F.length(x).alias("n"), (-i).alias("back"), x.alias("x"))))
     short = short_items.select("w", anchor.alias("a")).select("w", F.col("a.x").alias("anchor"), (-F.col("a.back")).alias("offset")).distinct()
     short = materialise(short, "short-items")
@@ -76,9 +84,9 @@ def _occurring(
     small = (_few(grams) and _few(short)) if broadcast is None else broadcast
     near = F.broadcast if small else (lambda df: df)
 
-    hashed = tokenised.select(*ROW_KEY, "w", _gram_hashes("w").alias("h"))
-    placed = hashed.select(*ROW_KEY, *(["w"] if small else []), "h", F.explode(winnowed("h")).alias("at"))
-    matched = placed.withColumn("gram", F.element_at("h", F.col("at") + 1)).drop("h").join(near(grams), "gram", "left_semi")
+    placed = tokenised.select(*ROW_KEY, *(["w"] if small else []), F.explode(winnowed("w")).alias("kept"))
+    placed = placed.withColumns({"at": _place("kept"), "gram": _gram("kept")}).drop("kept")
+    matched = placed.join(near(grams), "gram", "left_semi")
     if not small:
         matched = matched.join(tokenised.select(*ROW_KEY, "w").dropDuplicates(ROW_KEY), ROW_KEY)
     first, last = F.greatest(F.col("at") - (SPAN - 1), F.lit(0)), F.least(F.col("at"), F.size("w") - WINDOW)
