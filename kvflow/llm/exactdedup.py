@@ -61,6 +61,8 @@ def duplicate_groups(
         verified = F.transform("chunks", lambda c: F.hex(c["short"]))
     listed = rows.select(id_col, "digest", F.size("chunks").alias("n_chunks"), F.concat_ws(",", verified).alias("recipe"))
     groups = listed.groupBy("recipe").agg(F.max(id_col).alias("keep_id"), F.count("*").alias("group_size"))
+    # Written, so that the join deals both sides anew and a hot recipe's rows can be split over tasks.
+    groups = materialise(groups, "recipe-groups")
     return listed.join(groups, "recipe").select(
         id_col,
         "keep_id",
