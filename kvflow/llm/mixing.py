@@ -28,8 +28,8 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST_PASSES = 2
 SEED = 42
-#: Documents of a source that one task numbers, about.
-ORDER_ROWS = 200_000
+#: Documents of a source that one task numbers, about, and the parts a source has at least.
+ORDER_ROWS, ORDER_PARTS = 20_000, 64
 #: Sources go through the driver (a name and three numbers each) and into one array of shares.
 MAX_SOURCES = 100_000
 #: Rounds of the permutation.
@@ -99,7 +99,7 @@ class Mix:
             raise ValueError(f"more than {MAX_SOURCES} sources")
         sizes = {r.source: r.size for r in rows}
         want = targets(sizes)
-        self.buckets = max(8, -(-max((r.n for r in rows), default=0) // ORDER_ROWS))
+        self.buckets = max(ORDER_PARTS, -(-max((r.n for r in rows), default=0) // ORDER_ROWS))
         table = []
         for s in sorted(sizes, key=lambda s: (s is None, (s or "").encode())):
             size, take = sizes[s], int(want[s])
