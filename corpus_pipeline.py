@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kvflow.llm import decontaminate, langid, mixing, sharding, simhash
+from kvflow.llm import decontaminate, jaccard, langid, mixing, sharding
 from kvflow.llm.common import ROW_KEY, discard, materialise, table, with_row_key
 
 #: Languages the corpus is for; None takes every language that training rows name.
@@ -32,8 +32,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the row with the smallest doc_id of each component; a null doc_id goes only where its component has another row."""
-    groups = materialise(simhash.near_duplicates(docs), "near")
+    """Keep the row with the smallest doc_id of each group of texts linked by 5-word shingles of similarity 0.8 or more; a
+    null doc_id goes only where its group has another row."""
+    groups = materialise(jaccard.near_duplicates(docs), "near")
     stay = groups.where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(stay, "doc_id", "left_semi")
     if groups.where("doc_id = component_id").count() > stay.count():
