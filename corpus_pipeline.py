@@ -6,7 +6,7 @@ run() writes each stage's result as Parquet to the shared folder and rereads it
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kvflow.llm import decontaminate, jaccard, langid, mixing, sharding
@@ -16,6 +16,8 @@ from kvflow.llm.common import ROW_KEY, discard, materialise, table, with_row_key
 LANGUAGES: tuple[str, ...] | None = None
 #: Documents less like their nearest language's profile than this are rejected.
 LEAST_SCORE = 0.05
+#: One whole use of a document, in the sums that the mixing stage rounds.
+RATIO_UNIT = 1 << 32
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,13 +53,36 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat each document as often as the mix takes its words, to the nearest whole number: 0, 1 or 2 times."""
-    mixed = mixing.Mix(docs).taken()
-    times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0).cast("int")
-    planned = mixed.select("doc_id", "source", times.alias("times")).where("times > 0")
-    planned = planned.groupBy("doc_id", "source").agg(F.max("times").alias("times")).select(F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), "times")
-    met = docs.join(planned, docs["doc_id"].eqNullSafe(F.col("m_id")) & docs["source"].cast("string").eqNullSafe(F.col("m_source")))
-    return met.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select([docs[c] for c in docs.columns])
+    """Repeat each document 0, 1 or 2 times so that each source gives the words of its target, to within its longest document.
+
+    taken / size is rounded systematically: on its running sum over a source's documents by size, largest first, so the
+    errors of neighbours, which are of about one size, cancel.
+    """
+    keyed = docs.withColumn("mix_key", F.xxhash64("doc_id", F.col("doc_id").isNull(), "text"))
+    mixed = materialise(mixing.Mix(keyed, "mix_key").taken().where("taken > 0"), "taken")
+    # In whole numbers: sums don't depend on their order.
+    ratio = F.floor(F.col("taken").cast("double") / F.col("size") * RATIO_UNIT + 0.5).cast("long")
+    part = F.pmod(F.xxhash64("mix_key", F.lit(mixing.SEED)), F.lit(mixing.ORDER_PARTS)).cast("int")
+    rated = mixed.select("mix_key", "source", "size", ratio.alias("ratio"), part.alias("part"))
+    parts = rated.groupBy("source", "size", "part").agg(F.sum("ratio").alias("n"))
+    sizes = parts.groupBy("source", "size").agg(F.sum("n").alias("n"))
+
+    def before(total: str, *by: str, order: list) -> Column:
+        rows = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(total).over(rows), F.lit(0).cast("long"))
+
+    sizes = sizes.select(F.col("source").alias("s"), F.col("size").alias("z"), before("n", "source", order=[F.desc("size")]).alias("base"))
+    parts = parts.withColumn("start", before("n", "source", "size", order=["part"]))
+    starts = parts.join(sizes, parts["source"].eqNullSafe(F.col("s")) & (parts["size"] == F.col("z")))
+    starts = starts.select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("part").alias("b"), (F.col("base") + F.col("start")).alias("start"))
+    run = rated.withColumn("within", before("ratio", "source", "size", "part", order=["mix_key"]))
+    run = run.join(starts, run["source"].eqNullSafe(F.col("s")) & (run["size"] == F.col("z")) & (run["part"] == F.col("b")))
+    at = F.col("start") + F.col("within") + RATIO_UNIT // 2
+    whole = [F.shiftright(x, RATIO_UNIT.bit_length() - 1) for x in (at, at + F.col("ratio"))]
+    planned = run.select("mix_key", "source", (whole[1] - whole[0]).cast("int").alias("times")).where("times > 0")
+    planned = planned.groupBy("mix_key", "source").agg(F.max("times").alias("times")).select(F.col("mix_key").alias("m_key"), F.col("source").alias("m_source"), "times")
+    met = keyed.join(planned, (keyed["mix_key"] == F.col("m_key")) & keyed["source"].cast("string").eqNullSafe(F.col("m_source")))
+    return met.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select([keyed[c] for c in docs.columns])
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

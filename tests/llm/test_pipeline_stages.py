@@ -1,9 +1,10 @@
 """What the stages of the pipeline owe beyond running: near copies, delivered words, rejected text."""
 
 import random
+from collections import Counter
 
 import corpus_pipeline
-from kvflow.llm import jaccard
+from kvflow.llm import jaccard, mixing
 from tests.llm.fixtures import DOCS, text
 
 
@@ -56,3 +57,21 @@ def test_near_duplicate_groups_are_single_links(spark):
                     want[i] = want[k] = min(want[i], want[k])
     want[11] = 9
     assert got == want | {None: want[100]}
+
+
+def test_mix_meets_each_sources_target(spark):
+    rng = random.Random(23)
+    rows = [(i, text(rng, rng.choice([20, 90, 800, 2000, 2500])), "en", "hot" if i % 3 == 0 else rng.choice("abcd"), 1) for i in range(300)]
+    rows += [(None, text(rng, 700), "en", "hot", 1) for _ in range(20)] + [(1000, None, "en", None, 1)]
+    docs = spark.createDataFrame(rows, DOCS)
+    held, given, longest = Counter(), Counter(), Counter()
+    for _, s, _, source, _ in rows:
+        n = len((s or "").split())
+        held[source] += n
+        longest[source] = max(longest[source], n)
+    for r in corpus_pipeline.mix_sources(spark, docs, "").collect():
+        given[r.source] += len(r.text.split())
+    want = mixing.targets(dict(held))
+    assert any(0.3 < want[s] / held[s] < 0.9 for s in held if held[s])
+    for s in held:
+        assert abs(given[s] - want[s]) <= longest[s], s
