@@ -14,23 +14,35 @@ from kvflow.llm.common import ROW_KEY, discard, materialise, table, with_row_key
 
 #: Languages the corpus is for; None takes every language that training rows name.
 LANGUAGES: tuple[str, ...] | None = None
-#: Documents less like their nearest language's profile than this are rejected.
+#: Documents less like their nearest language's profile than this are rejected, whatever that language's own floor.
 LEAST_SCORE = 0.05
+#: A language's floor: this share of the score that all but FLOOR_BELOW of its labelled documents reach.
+FLOOR_SHARE, FLOOR_BELOW = 0.65, 0.05
 #: One whole use of a document, in the sums that the mixing stage rounds.
 RATIO_UNIT = 1 << 32
 
 
+def floors(learnt: DataFrame, profiles: langid.Profiles) -> DataFrame:
+    """floor_lang, floor: the least score of each language, from the labelled documents that it is found in."""
+    scored = langid.predict(learnt.where("text is not null and lang is not null"), profiles, ["lang"]).where("lang_pred = lang")
+    low = F.percentile_approx("score", FLOOR_BELOW, 10_000)
+    return scored.groupBy(F.col("lang_pred").alias("floor_lang")).agg(F.greatest(F.lit(LEAST_SCORE), low * FLOOR_SHARE).alias("floor"))
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents of a language of LANGUAGES; undetermined ones and those below LEAST_SCORE go.
+    """Keep documents of a language of LANGUAGES; undetermined ones and those below their language's floor go.
 
-    Profiles come from the labelled rows of the folds that op1 learns from.
+    Profiles and floors come from the labelled rows of the folds that op1 learns from.
     """
-    profiles = langid.fit(docs.where(langid.fold(F.col("doc_id")) != 1))
-    judged = langid.predict(docs, profiles, docs.columns)
-    kept = judged.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
+    learnt = docs.where(langid.fold(F.col("doc_id")) != 1)
+    profiles = langid.fit(learnt)
+    low = materialise(floors(learnt, profiles), "floors")
+    judged = langid.predict(docs, profiles, docs.columns).where(F.col("lang_pred") != langid.UNDETERMINED)
+    judged = judged.join(F.broadcast(low), F.col("lang_pred") == F.col("floor_lang"), "left")
+    kept = judged.where(F.col("score") >= F.coalesce("floor", F.lit(LEAST_SCORE)))
     if LANGUAGES is not None:
         kept = kept.where(F.col("lang_pred").isin(list(LANGUAGES)))
-    return kept.select(docs.columns)
+    return kept.select([judged[c] for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -75,3 +75,18 @@ def test_mix_meets_each_sources_target(spark):
     assert any(0.3 < want[s] / held[s] < 0.9 for s in held if held[s])
     for s in held:
         assert abs(given[s] - want[s]) <= longest[s], s
+
+
+def test_language_stage_rejects_other_languages_and_gibberish(spark):
+    rng = random.Random(24)
+    en = "the of and to in that is was he for it with as his on be at by had not are but from or have an they which one you were her all she there would their we him been has when who will more no if out so said what up its about into than them can only other new some could time these two may then do first any my now such like our over man me even most made after also did many before must through back years where much your way well down should because each just those people how too little state good very make world still own see men work long get here between both life being under never day same another know while last might us great old year off come since against go came right used take three".split()
+    de = "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an werden aus er hat dass sie nach wird bei einer um am sind noch wie einem über einen so zum war haben nur oder aber vor zur bis mehr durch man sein wurde sei hatte kann gegen vom können schon wenn habe seine mark ihre dann unter wir soll ich eines jahr zwei jahren diese dieser wieder keine uhr seiner worden will zwischen immer millionen was sagte gibt alle seit muss doch jetzt waren drei".split()
+    rows = [(i, " ".join(rng.choice(en if i % 2 else de) for _ in range(rng.choice([4, 12, 60, 300]))), "en" if i % 2 else "de", "a", 1) for i in range(200)]
+    finnish = "vuonna suomen tasavallan hallitus päätti että kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto ja heidän on toimittava toisiaan kohtaan veljeyden hengessä"
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    mixed = letters + letters.upper() + "0123456789+/"
+    bad = [finnish, finnish[:90], *["".join(rng.choice(mixed) for _ in range(n)) for n in (64, 400)]]
+    bad += [" ".join("".join(rng.choice(letters) for _ in range(rng.randrange(2, 11))) for _ in range(n)) for n in (40, 300)]
+    docs = spark.createDataFrame(rows + [(1000 + i, s, None, "a", 1) for i, s in enumerate(bad)], DOCS)
+    kept = corpus_pipeline.identify_language(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == [r[0] for r in rows]
