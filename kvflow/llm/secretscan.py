@@ -1,6 +1,8 @@
 """Secret scans with corpus-wide ownership.  DataFrame functions only.
 
-Base patterns give spans of three kinds in every text.  Beside them, long mixed tokens are candidates.  The SHA-256 of
+Base patterns give spans of three kinds in every text.  Beside them, long mixed tokens are candidates: runs of the
+base64 alphabet with ``+``, ``/`` or ``=`` in them that look random as a whole, and else runs of letters, digits, ``_``
+and ``-``.  Paths and URLs change too seldom between sorts of characters, or have too many slashes, to be taken whole.  The SHA-256 of
 each secret value is counted over the corpus by distinct repositories and owners: a value that many owners hold is an
 example copied around, one held by at most MAX_OWNERS owners in at most MAX_REPOSITORIES repositories and of mixed
 characters looks live.  Candidates that look live become spans of kind ``token``; base spans always stay, and their
@@ -26,6 +28,12 @@ BASE = {"assign": (ASSIGN, 2, 6), "access": (r"AKIA[A-Z0-9]+", 0, 20), "hex": (r
 #: Candidates beside them: maximal runs of at least so many of these.
 CANDIDATE = r"[A-Za-z0-9_-]"
 CANDIDATE_MIN = 24
+#: And maximal runs of so many of these with their padding, where they look random.
+WIDE = rf"[A-Za-z0-9+/_-]{{{CANDIDATE_MIN},}}={{0,2}}"
+#: Ends of stretches of lower case, upper case or digits for each character: random base64 has 0.6, words less than 0.25.
+MIN_CHANGES = 0.3
+#: A random run has a slash in 64 characters, a path has more than one in so many.
+SLASH_EVERY = 6
 MAX_OWNERS = 2
 MAX_REPOSITORIES = 3
 #: A live-looking value has this many distinct characters.
@@ -55,6 +63,14 @@ def _run_spans(text: Column, chars: str, least: int, kind: int) -> Column:
     return _spans(text, f"{chars}{{{least},}}", least, kind, 0)
 
 
+def _is_key(run: Column) -> Column:
+    """Whether a run with +, / or = inside looks like one random value: all three sorts of characters, changing often, few slashes."""
+    changes = r"(?<=[a-z])(?=[^a-z])|(?<=[A-Z])(?=[^A-Z])|(?<=[0-9])(?=[^0-9])"
+    sorts = run.rlike("[a-z]") & run.rlike("[A-Z]") & run.rlike("[0-9]")
+    slashes = F.regexp_count(run, F.lit("/")) * SLASH_EVERY <= F.length(run)
+    return run.rlike("[+/=]") & sorts & slashes & (F.regexp_count(run, F.lit(changes)) >= F.length(run) * MIN_CHANGES)
+
+
 def _digest(spans: Column, kinds: list[str]) -> Column:
     """kind:start:end of each span, comma-joined."""
     names = F.array(*map(F.lit, kinds))
@@ -86,7 +102,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
         _run_spans(text, "AKIA[A-Z0-9]", BASE["access"][2] - 4, 1).alias("access"),
         _run_spans(text, "[0-9a-f]", BASE["hex"][2], 2).alias("hex"),
         _run_spans(text, CANDIDATE, CANDIDATE_MIN, 3).alias("tokens"),
+        F.filter(_spans(text, WIDE, CANDIDATE_MIN, 3, 0), lambda s: _is_key(s["secret"])).alias("wide"),
     )
+    within = lambda t: F.exists("wide", lambda w: (w["start"] < t["stop"]) & (t["start"] < w["stop"]))
+    found = found.withColumn("tokens", F.concat("wide", F.filter("tokens", lambda t: ~within(t)))).drop("wide")
     base = F.concat("assign", "access", "hex")
     mixed = lambda s: s.rlike("[0-9]") & s.rlike("[A-Za-z]") & (F.size(F.array_distinct(F.split(s, ""))) >= MIN_DISTINCT)
     apart = lambda t: ~F.exists("base", lambda b: (b["start"] < t["stop"]) & (t["start"] < b["stop"]))
