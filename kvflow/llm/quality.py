@@ -44,7 +44,7 @@ class _Buckets(dict):
 
     def __missing__(self, token: str) -> tuple[int, ...]:
         word = _CORE.sub("", token).lower()
-        shape = "".join("X" if c.isupper() else "x" if c.islower() else "9" if c.isdigit() else c for c in token[:24])
+        shape = "".join("X" if c.isupper() else "x" if c.islower() else "9" if c.isdigit() else c for c in token)
         shape = re.sub(r"(.)\1+", r"\1", shape)
         got = tuple(xxhash.xxh64_intdigest(k + v, 42) % DIMENSIONS for k, v in (("w", word), ("s", shape)) if v)
         if len(token) <= 40:
