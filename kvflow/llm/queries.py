@@ -34,7 +34,7 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urlfilter.judge(table(spark, sf_dir, "pages"))
+    return urlfilter.judge_deep(table(spark, sf_dir, "pages"))
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

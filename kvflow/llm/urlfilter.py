@@ -6,7 +6,10 @@ chance after none, so a context counts as far as it was seen (variable order).
 difference (accepted less rejected) by character; the cut between allow and block is calibrated on the rule-decided
 URLs to the least balanced error.
 
-A model is a table of CLASSES ** 3 rows at any input size; it reaches the scoring stage as one array, by a scalar
+judge() reads classes and two characters of context; judge_deep(), which op4_url_filter runs, reads the characters
+themselves with up to ORDER of context, and its counts stand in a table that grows with the pages.
+
+judge()'s model is a table of CLASSES ** 3 rows at any input size; it reaches the scoring stage as one array, by a scalar
 subquery.  No URL is shuffled.
 
 Defined results: null URLs and those without ``://`` have empty host and path and no rule, and are blocked; so is no
@@ -35,6 +38,8 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyz0/.-?~"
 CLASSES = len(ALPHABET)
 #: Weight of the shorter context in the longer one's estimate, in observations.
 BACKOFF = 4.0
+#: Characters of context that judge_deep() counts, and the mark of a text's start.
+ORDER, START = 6, "\x02"
 #: Scores are cut to this range, and calibrated in steps of BIN.
 RANGE, BIN = 8.0, 0.01
 
@@ -108,6 +113,78 @@ def calibrate(scored: DataFrame) -> DataFrame:
     return errors.agg((F.min_by("bin", F.struct("error", "bin")) * BIN).alias("cut"), F.max("error").alias("error")).select(F.when(F.col("error").isNotNull(), F.col("cut")).alias("cut"))
 
 
+def characters(url: Column) -> Column:
+    """What stands after ``://``, lower-cased, character by character: digits, letters of any script and all others as they are."""
+    return F.lower(F.regexp_replace(url, r"(?s)^.*?://", ""))
+
+
+def contexts(text: Column, order: int) -> Column:
+    """For each character of text the string of up to order characters before it (with the text's start marked) and itself."""
+    padded = F.concat(F.lit(START), text)
+    place = F.sequence(F.lit(2), F.length(padded))
+    return F.when(F.length(text) > 0, F.transform(place, lambda i: F.substring(padded, F.greatest(F.lit(1), i - order), F.least(i, F.lit(order + 1))))).otherwise(F.array().cast("array<string>"))
+
+
+def fit_deep(examples: DataFrame, order: int = ORDER) -> DataFrame:
+    """examples: accepted (boolean), shown.  gram, yes, no, yes_all, no_all: how often the last character of gram follows
+    the rest of it and how often anything does, in either sort of URLs.  Grams of 1 to order + 1 characters, those seen."""
+    each = examples.select("accepted", F.explode(contexts(F.col("shown"), order)).alias("longest"))
+    whole = each.groupBy("longest").agg(F.sum(F.col("accepted").cast("long")).alias("yes"), F.sum((~F.col("accepted")).cast("long")).alias("no"))
+    ends = whole.select(F.explode(_tails("longest")).alias("gram"), "yes", "no")
+    counts = ends.groupBy("gram").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+    counts = materialise(counts.withColumn("context", F.expr("left(gram, length(gram) - 1)")), "url-counts")
+    totals = counts.groupBy("context").agg(F.sum("yes").alias("yes_all"), F.sum("no").alias("no_all"))
+    return materialise(totals.join(counts.select("context", "gram", "yes", "no"), "context", "left").select("gram", "context", "yes", "no", "yes_all", "no_all"), "url-model")
+
+
+def _tails(longest: str) -> Column:
+    """The ends of a string, shortest first."""
+    return F.transform(F.sequence(F.lit(1), F.length(longest)), lambda n: F.substring(F.col(longest), -n, n))
+
+
+def score_deep(parsed: DataFrame, model: DataFrame) -> DataFrame:
+    """longest, ratio: the log-likelihood difference of each longest gram that parsed (shown) holds.
+
+    The chance of a character after a context is smoothed by that after the context less its first character, and so on to
+    the even chance of the characters seen; a context that was never seen leaves the shorter one's chance as it is.
+    """
+    wanted = parsed.select(F.explode(contexts(F.col("shown"), ORDER)).alias("longest")).distinct()
+    ends = wanted.select("longest", F.posexplode(_tails("longest")).alias("n", "gram"))
+    ends = ends.withColumn("context", F.expr("left(gram, length(gram) - 1)"))
+    counts = model.select(F.col("gram"), "yes", "no")
+    totals = model.select("context", "yes_all", "no_all").distinct()
+    met = ends.join(counts, "gram", "left").join(totals, "context", "left").na.fill(0, ["yes", "no", "yes_all", "no_all"])
+    steps = met.groupBy("longest").agg(F.array_sort(F.collect_list(F.struct("n", "yes", "no", "yes_all", "no_all"))).alias("steps"))
+    kinds = materialise(model.where("length(gram) = 1").agg((F.count("*") + 1).alias("kinds")), "url-kinds")
+
+    def chance(n: str) -> Column:
+        return F.aggregate("steps", 1.0 / F.col("kinds"), lambda p, s: (s[n] + BACKOFF * p) / (s[f"{n}_all"] + BACKOFF))
+
+    return steps.withColumn("kinds", kinds.scalar()).select("longest", (F.log(chance("yes")) - F.log(chance("no"))).alias("ratio"))
+
+
+def judge_deep(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: tuple[tuple[str, str], ...] = RULES) -> DataFrame:
+    """As judge(), with contexts of up to ORDER real characters, their counts in a table that grows with pages."""
+    url = F.col(url_col).cast("string")
+    host, path = host_and_path(url)
+    parsed = pages.select(F.col(id_col), url.alias("url"), host.alias("host"), path.alias("path"))
+    rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
+    parsed = parsed.withColumns({"rule": rule, "ruled": verdict, "shown": F.coalesce(characters(F.col("url")), F.lit(""))})
+    parsed = parsed.withColumn("is_url", F.coalesce(F.contains("url", F.lit("://")), F.lit(False))).drop("url")
+    parsed = materialise(parsed, "urls")
+    accepted = F.col("ruled") == "allow"
+    ratios = score_deep(parsed, fit_deep(parsed.where("ruled is not null").withColumn("accepted", accepted)))
+    # Each distinct URL once: its grams meet their ratios by a join, and come together by the URL.
+    distinct = parsed.select("shown").distinct()
+    each = distinct.select("shown", F.explode(contexts(F.col("shown"), ORDER)).alias("longest"))
+    sums = each.join(ratios, "longest").groupBy("shown").agg(F.avg("ratio").alias("mean"))
+    score = F.coalesce(F.greatest(F.lit(-RANGE), F.least(F.lit(RANGE), F.round("mean", 9))), F.lit(0.0))
+    scored = materialise(parsed.join(sums, "shown", "left").withColumn("score", score).drop("shown", "mean"), "url-scores")
+    cut = materialise(calibrate(scored.where("ruled is not null").withColumn("accepted", accepted)), "url-cut")
+    by_model = F.when(~F.col("is_url"), "block").when(F.col("cut").isNull() | (F.col("score") >= F.col("cut")), "allow").otherwise("block")
+    return scored.withColumn("cut", cut.scalar()).select(id_col, "host", "path", "rule", F.coalesce("ruled", by_model).alias("verdict"), "score")
+
+
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: tuple[tuple[str, str], ...] = RULES) -> DataFrame:
     """id_col, host, path, rule, verdict, score: a row for each row of pages."""
     url = F.col(url_col).cast("string")
