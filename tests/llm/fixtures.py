@@ -1,6 +1,9 @@
 """Small tables with the awkward rows every operator must take."""
 
 import random
+from collections import Counter
+
+import duckdb
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = "the and onesen erblest at hein ti inenan eranenes whou therouou thon heoron eratsh blees sh esheon erstlyat eronthwh reer anat tisher".split()
@@ -41,3 +44,19 @@ def rows_of(df):
 
 def ascii_lower(s):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in s)
+
+
+def against_sql(tmp_path, found, sql, **tables):
+    """Assert that found has the rows that DuckDB gives for sql over the tables (name=DataFrame)."""
+    con = duckdb.connect()
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / name))
+        con.execute(f"create view {name} as select * from '{tmp_path / name}/*.parquet'")
+    want = con.execute(sql).fetchall()
+    columns = [c[0] for c in con.description]
+
+    def shown(row):
+        return tuple(f"{x:.9f}" if isinstance(x, float) else str(x) for x in row)
+
+    got = Counter(shown(r) for r in found.select(columns).collect())
+    assert got == Counter(map(shown, want))
