@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import replace
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -125,29 +126,48 @@ def stream(raw: DataFrame, cfg: Config, checkpoint: str, sink: Sink | None = Non
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
+def _take_snapshots(spark: SparkSession, cfg: Config, folder: str, addresses: list[str]) -> dict[str, replication.Handover]:
+    """Each shard's snapshot, received by a task of its own into the shared folder, and where its log goes on."""
+    r: SyncReader = cfg.reader
+    base, advanced = _address(r), cfg.advanced
+
+    def receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for address in (a for b in batches for a in b.column(0).to_pylist()):
+            path = replication.snapshot_path(folder, address)
+            at = replication.take_snapshot(replace(base, address=address), path, r.try_diskless, psync_command(advanced.aws_psync, address))
+            with open(path, "rb") as f:
+                db = rdb.stream_db(f)
+            yield pa.RecordBatch.from_pydict({"address": [address], "run_id": [at.run_id], "offset": [at.offset], "db": pa.array([db], pa.int32())})
+
+    listed = spark.createDataFrame([(a,) for a in addresses], "address string").repartition(len(addresses), "address")
+    taken = listed.mapInArrow(receive, "address string, run_id string, offset long, db int").collect()
+    return {t.address: replication.Handover(t.run_id, t.offset, t.db) for t in taken}
+
+
 def run_sync(spark: SparkSession, cfg: Config, folder: str, sink: Sink | None = None, status: Status | None = None, trigger: dict | None = None) -> list[StreamingQuery]:
-    """Replication: take each shard's snapshot into folder, move it, then stream its log from where the snapshot ends."""
+    """Replication: take each shard's snapshot into folder, move it, then stream its log from where the snapshot ends.
+
+    folder: a path that the driver and all executors mount.
+    """
     register(spark)
     r: SyncReader = cfg.reader
     to = None if sink else target(cfg)
     queries = []
-    for i, address in enumerate(shard_addresses(_address(r), r.cluster, r.prefer_replica)):
-        command = psync_command(cfg.advanced.aws_psync, address)
-        path = replication.snapshot_path(folder, address)
-        at = replication.take_snapshot(replace(_address(r), address=address), path, r.try_diskless, command)
+    addresses = shard_addresses(_address(r), r.cluster, r.prefer_replica)
+    taken = _take_snapshots(spark, cfg, folder, addresses)
+    for i, address in enumerate(addresses):
+        at, path = taken[address], replication.snapshot_path(folder, address)
         if r.sync_rdb:
-            with open(path, "rb") as f:
-                head = rdb.Snapshot(f)
-                db = [head.stream_db for _ in head][-1:] or [head.stream_db]
-            at = replace(at, db=db[0])
             rows = spark.read.format("rdb").option("path", path).option("bloom_version", cfg.module.target_mbbloom_version).load().drop("expire_at_ms")
             entries = transform_entries(rows, cfg)
             sink(entries, -1) if sink else server.write(entries, to if i == 0 else replace(to, empty_first=False))
         os.remove(path)
         if r.sync_aof:
-            o = _options(replace(r, address=address), run_id=at.run_id, offset=at.offset, db=at.db, psync_command=command)
+            # A state folder for each handover: offsets of another run mean nothing here.
+            state = os.path.join(folder, f"state-{i}-{at.run_id}-{at.offset}")
+            o = _options(replace(r, address=address), run_id=at.run_id, offset=at.offset, db=at.db, state=state, psync_command=psync_command(cfg.advanced.aws_psync, address))
             log = spark.readStream.format("kvreplica").options(**o).load()
-            queries.append(stream(log, cfg, os.path.join(folder, f"checkpoint-{i}"), sink, status, trigger))
+            queries.append(stream(log, cfg, os.path.join(folder, f"checkpoint-{i}-{at.run_id}-{at.offset}"), sink, status, trigger))
     return queries
 
 
@@ -155,6 +175,7 @@ def run_notify(spark: SparkSession, cfg: Config, checkpoint: str, sink: Sink | N
     """Keyspace notifications as a stream of RESTORE and DEL commands; values always replace."""
     register(spark)
     r: ScanReader = cfg.reader
-    raw = spark.readStream.format("kvnotify").options(**_options(r, dbs=",".join(map(str, r.dbs)))).load()
+    state = f"{checkpoint.rstrip('/')}-events"
+    raw = spark.readStream.format("kvnotify").options(**_options(r, dbs=",".join(map(str, r.dbs)), state=state)).load()
     commands = scan.as_commands(raw, cfg.advanced.target_proto_max_bulk_len, True, cfg.module.target_mbbloom_version)
     return stream(commands.drop("ordinal"), cfg, checkpoint, sink, status, trigger)

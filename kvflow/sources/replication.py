@@ -8,16 +8,15 @@ from __future__ import annotations
 
 import os
 import re
-import select
-import time
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from kvflow.functions.resp import encode
 from kvflow.operators.filters import NOISE, NOISE_CHANNEL
 from kvflow.sources.client import Address, Connection
+from kvflow.sources.notes import Notes
 from kvflow.sources.scan import address_of
 
 SCHEMA = "source_id string, seq long, db_id int, argv array<binary>"
@@ -98,64 +97,84 @@ def is_noise(argv: list[bytes]) -> bool:
     return name in NOISE or (name == "PUBLISH" and len(argv) > 1 and argv[1] == NOISE_CHANNEL.encode())
 
 
-class _LogReader(SimpleDataSourceStreamReader):
-    """Offsets are the master's byte offsets plus the database selected there, so a restart asks for the log from there."""
+@dataclass
+class Stretch(InputPartition):
+    start: int
+    end: int
+
+
+def _name(offset: int) -> str:
+    return f"{offset:020d}"
+
+
+class _LogReader(DataSourceStreamReader):
+    """Offsets are the master's byte offsets.  A batch is the stretch of log between two of them and is read by an executor,
+    which asks the master for it from its start; so does a batch that is run again, and it fails if the log is gone.
+
+    An end may fall inside a command; the stretch then goes on to that command's end.  Where it ended and the database
+    selected there are noted in the state folder under the end, for the stretch that follows.
+    """
 
     def __init__(self, options: dict) -> None:
         self.options = options
-        self.max_rows = int(options.get("max_rows", 10_000))
-        self.wait = float(options.get("wait_seconds", 0.5))
-        self.connection: Connection | None = None
-        self.position = -1
-        self.base = 0
-        self.kept: list[tuple[dict, dict, list[tuple]]] = []
+        self.most = int(options.get("max_bytes", 64 << 20))
+        if not options.get("state"):
+            raise ValueError("state is needed: a folder that the driver and all executors reach")
+
+    def _notes(self) -> Notes:
+        return Notes(self.options["state"])
 
     def initialOffset(self) -> dict:
-        return {"offset": int(self.options["offset"]), "db": int(self.options.get("db", 0)), "run_id": self.options["run_id"]}
-
-    def _open(self, start: dict) -> None:
-        if self.connection is not None and self.position == start["offset"]:
-            return
-        if self.connection is not None:
-            self.connection.close()
-        c = Connection(address_of(self.options))
-        handshake(c)
-        full, _, _ = psync(c, start["run_id"], start["offset"] + 1, self.options.get("psync_command", "psync"))
-        if full:
-            c.close()
-            raise ConnectionError("the master no longer has the log from this offset; take a snapshot again")
-        self.connection, self.position, self.base = c, start["offset"], start["offset"] - c.reader.offset
-
-    def _ready(self, until: float) -> bool:
-        r = self.connection.reader
-        return len(r.buffer) > r.at or bool(select.select([self.connection.socket], [], [], max(0.0, until - time.monotonic()))[0])
-
-    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        self._open(start)
-        c, db, rows, until = self.connection, start["db"], [], time.monotonic() + self.wait
-        while len(rows) < self.max_rows and self._ready(until):
-            argv = c.reader.command()
-            self.position = self.base + c.reader.offset
-            if argv and argv[0].upper() == b"SELECT" and len(argv) == 2:
-                db = int(argv[1])
-            elif argv and not is_noise(argv):
-                rows.append((self.options["address"], self.position, db, argv))
-        end = {"offset": self.position, "db": db, "run_id": start["run_id"]}
-        self.kept.append((start, end, rows))
-        return iter(rows), end
-
-    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
-        return iter([r for _, _, rows in self.kept for r in rows if start["offset"] < r[1] <= end["offset"]])
+        return {"offset": int(self.options["offset"])}
+
+    def latestOffset(self) -> dict:
+        done = max([int(n) for n in self._notes().names()], default=int(self.options["offset"]))
+        with Connection(address_of(self.options)) as c:
+            m = re.search(rb"^master_repl_offset:(\d+)", c.do("info", "replication"), re.M)
+        if not m:
+            raise ConnectionError("the master tells no offset")
+        return {"offset": min(max(done, int(m[1])), done + self.most)}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        return [Stretch(start["offset"], end["offset"])]
+
+    def read(self, partition: Stretch) -> Iterator[tuple]:
+        notes = self._notes()
+        known = notes.get(_name(partition.start))
+        if known is None:
+            if partition.start != int(self.options["offset"]):
+                raise ValueError(f"the state folder has no note of offset {partition.start}")
+            known = [partition.start, int(self.options.get("db", 0))]
+        at, db = known
+        if at < partition.end:
+            with Connection(address_of(self.options)) as c:
+                handshake(c)
+                full, _, _ = psync(c, self.options["run_id"], at + 1, self.options.get("psync_command", "psync"))
+                if full:
+                    raise ConnectionError("the master no longer has the log from this offset; take a snapshot again")
+                # What lies before is safely processed.
+                c.send_raw(encode(["replconf", "ack", at]))
+                base = at - c.reader.offset
+                while at < partition.end:
+                    argv = c.reader.command()
+                    at = base + c.reader.offset
+                    if argv and argv[0].upper() == b"SELECT" and len(argv) == 2:
+                        db = int(argv[1])
+                    elif argv and not is_noise(argv):
+                        yield self.options["address"], at, db, argv
+        notes.put(_name(partition.end), [at, db])
 
     def commit(self, end: dict) -> None:
-        """Acknowledge to the master what is safely processed."""
-        self.kept = [k for k in self.kept if k[1]["offset"] > end["offset"]]
-        if self.connection is not None:
-            self.connection.send_raw(encode(["replconf", "ack", end["offset"]]))
+        """Notes before the end are of no more use."""
+        notes = self._notes()
+        for name in notes.names():
+            if int(name) < end["offset"]:
+                notes.drop(name)
 
 
 class ReplicaDataSource(DataSource):
-    """Options: address, username, password, tls, run_id, offset, db (of a Handover), psync_command, max_rows, wait_seconds."""
+    """Options: address, username, password, tls, run_id, offset, db (of a Handover), state (a shared folder of this stream's
+    own), psync_command, max_bytes (of log in a batch), timeout."""
 
     @classmethod
     def name(cls) -> str:
@@ -164,7 +183,7 @@ class ReplicaDataSource(DataSource):
     def schema(self) -> str:
         return SCHEMA
 
-    def simpleStreamReader(self, schema) -> _LogReader:
+    def streamReader(self, schema) -> _LogReader:
         return _LogReader(dict(self.options))
 
 

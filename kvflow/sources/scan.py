@@ -11,14 +11,15 @@ import select
 import time
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import batched
+from itertools import batched, groupby
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from kvflow.operators import values
 from kvflow.sources.client import Address, Connection, shard_addresses
+from kvflow.sources.notes import Notes
 from kvflow.sources.rdb import decode_large
 
 SCHEMA = "source_id string, seq long, db_id int, key binary, dump binary, pttl long"
@@ -98,29 +99,50 @@ class ScanDataSource(DataSource):
         return _ScanReader(dict(self.options))
 
 
-class _NotifyReader(SimpleDataSourceStreamReader):
-    """One connection listens, another fetches; max_rows bounds a batch, wait_seconds how long it waits for the first event."""
+@dataclass
+class Changes(InputPartition):
+    """rows: (seq, db, key, removed)."""
+
+    rows: list[tuple[int, int, bytes, bool]]
+
+
+class _NotifyReader(DataSourceStreamReader):
+    """The driver listens and notes which keys changed; executors fetch their values.
+
+    Events are noted in the state folder before an offset past them is returned, so a batch that is run again has them.
+    Without the folder they are held in memory, and a batch planned before a restart fails.  Events while no query runs
+    are lost, as the server keeps none.  max_rows bounds a batch, wait_seconds how long it waits.
+    """
 
     def __init__(self, options: dict) -> None:
         self.options = options
         self.dbs = {int(x) for x in options.get("dbs", "").split(",") if x}
         self.max_rows = int(options.get("max_rows", 10_000))
+        self.task_rows = int(options.get("task_rows", 1000))
         self.wait = float(options.get("wait_seconds", 0.5))
         self.listening: Connection | None = None
-        self.fetching: Connection | None = None
-        self.kept: dict[int, list[tuple]] = {}
+        self.notes: Notes | None = None
+        self.kept: dict[str, list] = {}
+        self.seq: int | None = None
+
+    def _names(self) -> list[str]:
+        """start-end of each noted run of events, in order."""
+        if self.options.get("state") and self.notes is None:
+            self.notes = Notes(self.options["state"])
+        return self.notes.names() if self.notes else sorted(self.kept)
+
+    def _last(self) -> int:
+        return int(names[-1].split("-")[1]) if (names := self._names()) else 0
 
     def initialOffset(self) -> dict:
-        return {"seq": 0}
+        """Before all noted events: Spark may ask for it after the first of them are noted."""
+        return {"seq": int(names[0].split("-")[0]) if (names := self._names()) else 0}
 
-    def _open(self) -> None:
+    def _events(self) -> dict[tuple[int, bytes], bool]:
+        """(db, key) -> removed, the last event of each key."""
         if self.listening is None:
             self.listening = Connection(address_of(self.options))
             self.listening.do("psubscribe", "__keyevent@*__:*")
-            self.fetching = Connection(address_of(self.options))
-
-    def _events(self) -> dict[tuple[int, bytes], bool]:
-        """(db, key) -> removed, the last event of each key."""
         out: dict[tuple[int, bytes], bool] = {}
         until = time.monotonic() + self.wait
         r = self.listening.reader
@@ -137,31 +159,60 @@ class _NotifyReader(SimpleDataSourceStreamReader):
                 out[db, got[3]] = m[2] in REMOVALS
         return out
 
-    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        self._open()
-        rows, seq, current = [], start["seq"], None
-        for (db, key), removed in self._events().items():
-            dump, pttl = None, -2
-            if not removed:
-                if db != current:
-                    self.fetching.do("select", db)
-                    current = db
-                _, dump, pttl = fetch(self.fetching, [key])[0]
-            rows.append((self.options["address"], seq, db, key, dump, pttl))
-            seq += 1
-        self.kept[start["seq"]] = rows
-        return iter(rows), {"seq": seq}
-
-    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
-        rows = [r for at in sorted(self.kept) for r in self.kept[at]]
-        return iter([r for r in rows if start["seq"] <= r[1] < end["seq"]])
+    def latestOffset(self) -> dict:
+        if self.seq is None:
+            self.seq = self._last()
+        if events := self._events():
+            rows = [[self.seq + i, db, key.hex(), removed] for i, ((db, key), removed) in enumerate(events.items())]
+            name = f"{self.seq:020d}-{self.seq + len(rows):020d}"
+            if self.notes:
+                self.notes.put(name, rows)
+            else:
+                self.kept[name] = rows
+            self.seq += len(rows)
+        return {"seq": self.seq}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        rows = []
+        for name in self._names():
+            low, high = map(int, name.split("-"))
+            if low < end["seq"] and high > start["seq"]:
+                noted = self.notes.get(name) if self.notes else self.kept[name]
+                rows += [(seq, db, bytes.fromhex(key), removed) for seq, db, key, removed in noted if start["seq"] <= seq < end["seq"]]
+        if len(rows) != end["seq"] - start["seq"]:
+            raise ValueError(f"events {start['seq']} to {end['seq']} were planned but are no longer known; give the stream a state folder")
+        return [Changes(list(some)) for some in batched(rows, self.task_rows)]
+
+    def read(self, partition: Changes) -> Iterator[tuple]:
+        with Connection(address_of(self.options)) as c:
+            for db, rows in groupby(partition.rows, key=lambda r: r[1]):
+                if db:
+                    c.do("select", db)
+                for some in batched(rows, PIPELINE):
+                    got = iter(fetch(c, [r[2] for r in some if not r[3]]))
+                    for seq, _, key, removed in some:
+                        _, dump, pttl = (key, None, -2) if removed else next(got)
+                        yield self.options["address"], seq, db, key, dump, pttl
+                if db:
+                    c.do("select", 0)
 
     def commit(self, end: dict) -> None:
-        self.kept = {at: rows for at, rows in self.kept.items() if rows and rows[-1][1] >= end["seq"]}
+        """Processed events go; the last run stays, for the number that follows it."""
+        for name in self._names()[:-1]:
+            if int(name.split("-")[1]) <= end["seq"]:
+                if self.notes:
+                    self.notes.drop(name)
+                else:
+                    self.kept.pop(name)
+
+    def stop(self) -> None:
+        if self.listening is not None:
+            self.listening.close()
+            self.listening = None
 
 
 class NotifyDataSource(DataSource):
-    """Options: as for kvscan, with max_rows and wait_seconds."""
+    """Options: as for kvscan, with state (a shared folder of this stream's own), max_rows, task_rows and wait_seconds."""
 
     @classmethod
     def name(cls) -> str:
@@ -170,7 +221,7 @@ class NotifyDataSource(DataSource):
     def schema(self) -> str:
         return SCHEMA
 
-    def simpleStreamReader(self, schema) -> _NotifyReader:
+    def streamReader(self, schema) -> _NotifyReader:
         return _NotifyReader(dict(self.options))
 
 

@@ -69,7 +69,7 @@ class FakeServer:
             state["db"] = int(args[0])
             return b"+OK\r\n"
         if name == b"INFO":
-            text = "".join(f"db{i}:keys={len(d)},expires=0\r\n" for i, d in self.data.items() if d) if args[0] == b"keyspace" else self.info
+            text = "".join(f"db{i}:keys={len(d)},expires=0\r\n" for i, d in self.data.items() if d) if args[0] == b"keyspace" else f"{self.info}\r\nmaster_repl_offset:{100 + len(self.stream)}\r\n"
             return bulk(text.encode())
         if name == b"SCAN":
             keys = sorted(self.data.get(db, {}))

@@ -2,6 +2,7 @@
 
 import json
 import struct
+import time
 import urllib.request
 
 import pytest
@@ -171,21 +172,106 @@ def test_snapshot_mark_in_pieces(servers, tmp_path):
     assert (tmp_path / "d.rdb").read_bytes() == SNAPSHOT * 30 and (at.run_id, at.offset) == ("run1", 100)
 
 
-def test_notifications(servers):
+@pytest.mark.parametrize("state", [True, False])
+def test_notifications(servers, tmp_path, state):
     source = servers(data={0: {b"a": b"1"}, 11: {b"b": b"2"}})
-    reader = scan.NotifyDataSource({"address": source.address, "wait_seconds": "1"}).simpleStreamReader(None)
+    options = {"address": source.address, "wait_seconds": "1", "task_rows": "2"} | ({"state": str(tmp_path / "events")} if state else {})
+    reader = scan.NotifyDataSource(options).streamReader(None)
     start = reader.initialOffset()
-    assert list(reader.read(start)[0]) == []
+    assert reader.latestOffset() == start
     source.notify(0, "set", "a")
     source.notify(11, "set", "b")
     source.notify(0, "expired", "gone")
     source.notify(0, "set", "a")
-    rows, end = reader.read(start)
-    rows = list(rows)
-    assert [(r[2], r[3], r[4] is None) for r in rows] == [(11, b"b", False), (0, b"gone", True), (0, b"a", False)]
-    assert list(reader.readBetweenOffsets(start, end)) == rows
+    end = reader.latestOffset()
+    parts = reader.partitions(start, end)
+    assert len(parts) == 2
+    rows = [r for p in parts for r in reader.read(p)]
+    assert [(r[1], r[2], r[3], r[4] is None) for r in rows] == [(0, 11, b"b", False), (1, 0, b"gone", True), (2, 0, b"a", False)]
+    fresh = scan.NotifyDataSource(options).streamReader(None)
+    if state:  # another process finds the planned batch, and goes on after it
+        assert [r for p in fresh.partitions(start, end) for r in fresh.read(p)] == rows
+        assert fresh.initialOffset() == start and fresh._last() == end["seq"]
+    else:
+        with pytest.raises(ValueError):
+            fresh.partitions(start, end)
     reader.commit(end)
-    assert not reader.kept
+    source.notify(0, "set", "a")
+    after = reader.latestOffset()
+    assert after["seq"] == end["seq"] + 1 and len(reader.partitions(end, after)) == 1
+    reader.commit(after)
+    assert len(reader._names()) == 1
+    reader.stop()
+
+
+class Killed(Exception):
+    pass
+
+
+def _interrupted(spark, raw, cfg, tmp_path, happen=None):
+    """Rows that a sink gets when the query dies inside its first batch and is started again from its checkpoint."""
+    got = []
+
+    def dies(df, n):
+        if df.count():
+            raise Killed
+
+    def takes(df, n):
+        got.extend((n, r.db_id, [bytes(a) for a in r.argv]) for r in df.collect())
+
+    for sink in (dies, takes):
+        query = pipeline.stream(raw(), cfg, str(tmp_path / "checkpoint"), sink, None, {"processingTime": "100 milliseconds"})
+        try:
+            if happen:
+                happen()
+                happen = None
+            query.processAllAvailable()
+        except Exception:
+            assert sink is dies
+        finally:
+            query.stop()
+    return got
+
+
+def test_replication_goes_on_after_a_restart(spark, servers, tmp_path):
+    source = servers(stream=log("select 4", "set x 1", "set y 2", "select 7", "set z 3", "ping", "set w 4"))
+    pipeline.register(spark)
+    options = {"address": source.address, "run_id": "run1", "offset": "100", "db": "2", "state": str(tmp_path / "state"), "max_bytes": "40"}
+    cfg = config.parse(f'[sync_reader]\naddress = "{source.address}"')
+    got = _interrupted(spark, lambda: spark.readStream.format("kvreplica").options(**options).load(), cfg, tmp_path)
+    assert sorted((db, argv[1]) for _, db, argv in got) == [(4, b"x"), (4, b"y"), (7, b"w"), (7, b"z")]
+    assert len({n for n, *_ in got}) > 1 and source.acks
+    with pytest.raises(ValueError):
+        replication.ReplicaDataSource({"address": source.address}).streamReader(None)
+    lost = replication.ReplicaDataSource(options | {"state": str(tmp_path / "other")}).streamReader(None)
+    with pytest.raises(ValueError):
+        list(lost.read(replication.Stretch(140, 180)))
+
+
+def test_notifications_go_on_after_a_restart(spark, servers, tmp_path):
+    source = servers(data={0: {b"a": b"1", b"b": b"2"}})
+    pipeline.register(spark)
+    cfg = config.parse(f'[scan_reader]\naddress = "{source.address}"\nksn = true')
+    options = {"address": source.address, "state": str(tmp_path / "events")}
+
+    def happen():
+        until = time.monotonic() + 30
+        while not source.listeners and time.monotonic() < until:
+            time.sleep(0.05)
+        source.notify(0, "set", "a")
+        source.notify(0, "del", "c")
+
+    raw = lambda: scan.as_commands(spark.readStream.format("kvnotify").options(**options).load(), 1000, True).drop("ordinal")
+    got = _interrupted(spark, raw, cfg, tmp_path, happen)
+    assert sorted(argv[:2] for _, _, argv in got) == [[b"DEL", b"c"], [b"RESTORE", b"a"]]
+
+
+def test_database_of_a_following_log():
+    aux = lambda k, v: bytes([250]) + e.string(k) + e.string(v)
+    import io
+
+    assert rdb.stream_db(io.BytesIO(e.snapshot(aux(b"redis-ver", b"7"), aux(b"repl-stream-db", b"3"), aux(b"x", b"y")))) == 3
+    assert rdb.stream_db(io.BytesIO(e.snapshot(aux(b"redis-ver", b"7"), e.entry(0, b"k", e.string(b"v"))))) == 0
 
 
 def test_scanned_as_commands(spark):
