@@ -1,10 +1,17 @@
-"""Near-duplicate groups by Jaccard similarity of word shingles: MinHash bands, then every candidate group verified.
+"""Near-duplicate groups by Jaccard similarity of word shingles: SimHash and MinHash candidates, all verified.
 
-A text is the set of its SHINGLE-word shingles, hashed to 64 bits.  BANDS bands of ROWS minima each file it in a table;
-two texts of similarity 0.8 share no band in 5 cases of a million, those above in fewer.  Texts that share a band are
-joined to candidate groups (each to the least of its band, so linearly).  A candidate group goes to one task, which
-compares the sets themselves: any text of similarity LEAST to one of s shingles holds one of any s - ceil(LEAST * s) + 1
-of them, so the rarest so many give all that it has to be compared with.
+A text is the set of its SHINGLE-word shingles, hashed to 64 bits.  Candidates come from simhash's multi-index search
+over the fingerprints of these sets, which finds texts that differ little, and, since a pair at 0.8 differs in 10 of 64
+bits on average and so mostly escapes it, from BANDS bands of ROWS minima: two texts of similarity 0.8 share no band in
+5 cases of a million, those above in fewer.  Texts that share a band or are near by fingerprint are joined to candidate
+groups (each to the least of its kind, so linearly).  The sets themselves are then compared: any text of similarity
+LEAST to one of s shingles holds one of any s - ceil(LEAST * s) + 1 of them, so the rarest so many give all that it has
+to be compared with.
+
+A candidate group is dealt to parts of about PART_TEXTS texts and PART_SHINGLES shingles, a task each; HUBS of its
+texts go to all its parts and tie what belongs together.  Where parts are still apart after that, each two that hold
+more than one class are compared in a task of their own.  So every pair of a group is compared or known to be linked,
+and no task's size grows with a group.
 
 Texts with equal sets are one node from the start.
 
@@ -20,9 +27,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kvflow.llm import simhash
 from kvflow.llm.common import ROW_KEY, materialise, with_row_key
 from kvflow.llm.components import connected_components
 
@@ -33,6 +41,8 @@ BANDS, ROWS = 40, 6
 SEED = 42
 #: Shingles whose minima are taken at once.
 BLOCK = 1 << 12
+#: Of a candidate group: texts and shingles of one part, about, and the texts that all its parts share.
+PART_TEXTS, PART_SHINGLES, HUBS = 512, 1 << 20, 8
 
 _random = np.random.default_rng(SEED)
 _FACTORS = _random.integers(0, 1 << 31, (BANDS * ROWS, 1)).astype(np.uint32) * np.uint32(2) + np.uint32(1)
@@ -106,54 +116,105 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [shingles(t.as_py()) for t in batch.column(batch.num_columns - 1)]
         nodes = np.array([_node(h) for h in found], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:-1], pa.array(nodes, pa.int64()), pa.array([bands(h) for h in found], pa.list_(pa.int64()))], [*batch.schema.names[:-1], "node", "bands"]
-        )
+        fps = np.array([simhash.majority(h) for h in found], np.uint64).view(np.int64)
+        columns = [pa.array(nodes, pa.int64()), pa.array(fps, pa.int64()), pa.array([len(h) for h in found], pa.int64()), pa.array([bands(h) for h in found], pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*batch.schema.names[:-1], "node", "fp", "n", "bands"])
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over partitions sorted by candidate group: node, component (one of the linked nodes) of each node once."""
-    open_group: int | None = None
+    """Over partitions sorted by part: edges a-b of each node to one that it is linked to, none where it is the first."""
+    open_part: int | None = None
     held: dict[int, np.ndarray] = {}
 
     def close() -> pa.RecordBatch:
         nodes = list(held)
         label = clusters(list(held.values()))
         held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([nodes[i] for i in label], pa.int64())], ["node", "component"])
+        linked = [(n, nodes[i]) for n, i in zip(nodes, label, strict=True) if n != nodes[i]]
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in linked], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     for batch in batches:
-        for group, node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-            if group != open_group:
+        for part, node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            if part != open_part:
                 if held:
                     yield close()
-                open_group = group
+                open_part = part
             if node not in held:
                 held[node] = shingles(text.as_py())
     if held:
         yield close()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id_col, component_id (least id of the group): a row for each row of docs."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    keyed = with_row_key(docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text")), id_col, "text")
-    signed = keyed.select(id_col, *ROW_KEY, "text").mapInArrow(_signatures, f"`{id_col}` {kind}, rk_null boolean, rk_id long, rk_text long, node long, bands array<long>")
-    rows = materialise(signed, "signatures")
-    nodes = rows.groupBy("node").agg(F.min(id_col).alias("rep"), F.min(F.struct(*ROW_KEY)).alias("row"))
-    nodes = materialise(nodes, "nodes")
+def _compared(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Edges a-b found inside each part.  members: part, node and the row key of a text with the node's set."""
+    met = texts.join(members, ROW_KEY).select("part", "node", "text")
+    return met.repartition("part").sortWithinPartitions("part").mapInArrow(_verify, "a long, b long")
 
+
+def _candidates(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Edges a-b that span the candidate groups.  rows: node, bands; nodes: node, fp."""
     entries = rows.select("node", F.explode("bands").alias("entry"))
     least = entries.groupBy("entry").agg(F.min("node").alias("b"), F.max("node").alias("most")).where("b < most")
-    edges = entries.join(least.select("entry", "b"), "entry").where("node <> b").select(F.col("node").alias("a"), "b")
-    candidates = connected_components(edges).withColumnRenamed("component", "candidate")
-
-    chosen = materialise(candidates.join(nodes, "node").select("candidate", "node", "row.*"), "candidates")
-    texts = keyed.select(*ROW_KEY, "text").join(chosen, ROW_KEY).select("candidate", "node", "text")
-    dealt = texts.repartition("candidate").sortWithinPartitions("candidate")
-    groups = materialise(dealt.mapInArrow(_verify, "node long, component long"), "groups")
-
-    placed = nodes.select("node", "rep").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    component = placed.groupBy("component").agg(F.min("rep").alias("component_id"))
-    by_node = placed.join(component, "component").select("node", "component_id")
-    return rows.select(id_col, "node").join(by_node, "node").select(id_col, "component_id")
+    by_band = entries.join(least.select("entry", "b"), "entry").where("node <> b").select(F.col("node").alias("a"), "b")
+    prints = materialise(nodes.groupBy("fp").agg(F.min("node").alias("b")), "prints")
+    same = nodes.join(prints, "fp").where("node <> b").select(F.col("node").alias("a"), "b")
+    near = simhash.link(prints.select("fp"))
+    near = near.join(prints.select(F.col("fp").alias("a"), F.col("b").alias("of_a")), "a").join(prints.select(F.col("fp").alias("b"), F.col("b").alias("of_b")), "b")
+    return by_band.union(same).union(near.select("of_a", "of_b"))
+
+
+def _linked(candidates: DataFrame, texts: DataFrame, part_texts: int, part_shingles: int) -> DataFrame:
+    """Edges a-b that span the texts linked at LEAST or more.  candidates: candidate, node, n, row key, each node once."""
+    sizes = candidates.groupBy("candidate").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
+    parts = F.greatest(F.ceil(F.col("members") / part_texts), F.ceil(F.col("shingles") / part_shingles)).cast("int")
+    sizes = materialise(sizes.select("candidate", "members", parts.alias("parts")), "candidate-sizes")
+    dealt = candidates.join(sizes, "candidate").withColumn("i", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    dealt = materialise(dealt, "dealt")
+
+    def name(*by: str) -> Column:
+        return F.xxhash64("candidate", *by).alias("part")
+
+    several = dealt.where("parts > 1")
+    # HUBS of a group's texts, more or less, by hash.
+    hubs = several.where(F.pmod(F.xxhash64("node", F.lit(SEED)), F.col("members")) < HUBS)
+    everywhere = hubs.select("candidate", "node", *ROW_KEY, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"))
+    members = dealt.select(name("i"), "node", *ROW_KEY).union(everywhere.select(name("i"), "node", *ROW_KEY))
+    edges = materialise(_compared(members, texts), "part-links")
+    if not several.limit(1).count():
+        return edges
+
+    # Parts that still hold classes apart: each two of them that could be linked meet in a task.
+    known = connected_components(edges)
+    known = several.join(known, "node", "left").select("candidate", "parts", "i", "node", F.coalesce("component", "node").alias("class"), *ROW_KEY)
+    known = materialise(known, "part-classes")
+    apart = known.groupBy("candidate").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
+    ends = known.join(apart.select("candidate"), "candidate", "left_semi").groupBy("candidate", "i").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    ends = materialise(ends, "part-ends")
+    two = ends.alias("x").join(ends.alias("y"), (F.col("x.candidate") == F.col("y.candidate")) & (F.col("x.i") < F.col("y.i")))
+    two = two.where("least(x.low, y.low) < greatest(x.high, y.high)").select("x.candidate", F.col("x.i").alias("i"), F.col("y.i").alias("j"))
+    two = materialise(two, "part-pairs")
+    sides = two.select("candidate", "i", name("i", "j")).union(two.select("candidate", "j", name("i", "j")))
+    members = known.join(sides, ["candidate", "i"]).select("part", "node", *ROW_KEY)
+    return edges.union(materialise(_compared(members, texts), "pair-links"))
+
+
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_texts: int = PART_TEXTS, part_shingles: int = PART_SHINGLES) -> DataFrame:
+    """id_col, the row key (common.with_row_key) and component (a number for each group): a row for each row of docs."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    keyed = with_row_key(docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text")), id_col, "text")
+    schema = f"`{id_col}` {kind}, rk_null boolean, rk_id long, rk_text long, node long, fp long, n long, bands array<long>"
+    rows = materialise(keyed.select(id_col, *ROW_KEY, "text").mapInArrow(_signatures, schema), "signatures")
+    nodes = materialise(rows.groupBy("node", "fp", "n").agg(F.min(F.struct(*ROW_KEY)).alias("row")), "nodes")
+    candidates = connected_components(_candidates(rows, nodes)).withColumnRenamed("component", "candidate")
+    chosen = materialise(candidates.join(nodes, "node").select("candidate", "node", "n", "row.*"), "candidates")
+    linked = connected_components(_linked(chosen, keyed.select(*ROW_KEY, "text"), part_texts, part_shingles))
+    placed = nodes.select("node").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # Written, so that the join deals both sides anew and a set that very many rows share can be split over tasks.
+    return rows.select(id_col, *ROW_KEY, "node").join(materialise(placed, "placed"), "node").drop("node")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_texts: int = PART_TEXTS, part_shingles: int = PART_SHINGLES) -> DataFrame:
+    """id_col, component_id (least id of the group): a row for each row of docs."""
+    found = materialise(groups(docs, id_col, text_col, part_texts, part_shingles), "groups")
+    least = found.groupBy("component").agg(F.min(id_col).alias("component_id"))
+    return found.join(materialise(least, "least"), "component").select(id_col, "component_id")

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UNDETERMINED = "und"
 #: n-grams in a profile, of a language or a document.
@@ -142,21 +143,24 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang") -> Profiles:
 
 
 def predict(df: DataFrame, profiles: Profiles, keep: list[str], text: str = "text") -> DataFrame:
-    """The columns keep of df, with lang_pred and score."""
+    """The columns keep of df, with lang_pred and score.  keep has no column of these names."""
     shared = df.sparkSession.sparkContext.broadcast(profiles)
-    fields = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
+    kept = df.select(*keep)
+    schema = T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    # The text goes to Python once, also where it is kept.
+    at = keep.index(text) if text in keep and isinstance(df.schema[text].dataType, T.StringType) else None
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiles_here, alphabet = shared.value, Alphabet()
-        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
-            got = [profiles_here.nearest(alphabet.grams(t.as_py())) for t in batch.column(len(keep))]
+        for batch in (whole.slice(i, ROWS) for whole in batches for i in range(0, whole.num_rows, ROWS)):
+            got = [profiles_here.nearest(alphabet.grams(t.as_py())) for t in batch.column(len(keep) if at is None else at)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(keep)], pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
                 [*keep, "lang_pred", "score"],
             )
 
-    picked = df.select(*keep, F.col(text).cast("string").alias("text_to_score"))
-    return picked.mapInArrow(score, f"{fields}, lang_pred string, score double")
+    picked = kept if at is not None else df.select(*keep, F.col(text).cast("string").alias("text_to_score"))
+    return picked.mapInArrow(score, schema)
 
 
 def fold(doc_id: Column, folds: int = 3) -> Column:

@@ -50,12 +50,15 @@ def fingerprint(text: str | None) -> int:
     stops = (ends - 1).tolist()
     width = min(SHINGLE, len(words)) - 1
     digest = xxhash.xxh64_intdigest
+    return majority(np.fromiter((digest(line[starts[i] : stops[i + width]], SEED) for i in range(n)), np.uint64, n))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half the hashes (uint64); zero of none."""
     set_bits = np.zeros(64, np.int64)
-    for at in range(0, n, BLOCK):
-        upto = min(n, at + BLOCK)
-        h = np.fromiter((digest(line[starts[i] : stops[i + width]], SEED) for i in range(at, upto)), np.uint64, upto - at)
-        set_bits += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * set_bits > n, bitorder="little").view(np.uint64)[0])
+    for at in range(0, len(hashes), BLOCK):
+        set_bits += np.unpackbits(hashes[at : at + BLOCK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * set_bits > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -3,6 +3,9 @@
 import random
 from collections import Counter
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from kvflow.llm import jaccard, mixing
 from tests.llm.fixtures import DOCS, text
@@ -90,3 +93,76 @@ def test_language_stage_rejects_other_languages_and_gibberish(spark):
     docs = spark.createDataFrame(rows + [(1000 + i, s, None, "a", 1) for i, s in enumerate(bad)], DOCS)
     kept = corpus_pipeline.identify_language(spark, docs, "")
     assert sorted(r.doc_id for r in kept.collect()) == [r[0] for r in rows]
+
+
+@pytest.mark.parametrize("part_texts", [3, 1000])
+def test_near_duplicates_dealt_to_parts(spark, part_texts):
+    rng = random.Random(25)
+    pool, rows = lexicon(rng, 400), []
+    for group in range(4):  # edits of one text: alike to it, and hardly to one another
+        words = [rng.choice(pool) for _ in range(100)]
+        rows.append((1000 + group, " ".join(words)))
+        for i in range(25):
+            edited = list(words)
+            for k in rng.sample(range(100), 2):
+                edited[k] = f"e{i}"
+            rows.append((100 * group + i, " ".join(edited)))
+    rows += [(2000 + i, " ".join(rng.choice(pool) for _ in range(rng.choice([1, 4, 30])))) for i in range(30)] + [(3000, rows[0][1]), (None, rows[0][1])]
+    rng.shuffle(rows)
+    least = {i: i for i, _ in rows if i is not None}
+    links = [(i, k) for i, s in rows for k, t in rows if None not in (i, k) and i < k and similar(s, t)]
+    for _ in rows:
+        for i, k in links:
+            least[i] = least[k] = min(least[i], least[k])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"part": F.lit("x"), "fp": F.lit(1), "bands": F.lit(2)})
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs, part_texts=part_texts).collect()}
+    assert got == least | {None: least[3000]}
+
+
+def odd(spark):
+    """Documents with nulls, repeats and columns of any name."""
+    rng = random.Random(26)
+    same = text(rng, 60)
+    rows = [(5, text(rng, 70), "en", "a", 1), (5, text(rng, 80), "en", "a", 1), (6, text(rng, 90), "en", "b", 1), (1, same, "en", "a", 1), (None, same, "en", "a", 1), (None, text(rng, 65), "en", None, 1)]
+    rows += [rows[5], rows[5], (7, None, None, None, None), (8, "", "en", "a", 0), (9, text(rng, 5000), "en", "b", 1), (10, text(rng, 40), None, None, None), rows[2], (6, rows[2][1], "de", "c", None)]
+    names = ("score", "lang_pred", "text_to_score", "copy", "times", "size", "Shard", "rk_id", "rk_text", "doc", "mix_key", "node", "component", "floor", "d0", "part", "carried", "shard_doc")
+    return spark.createDataFrame(rows, DOCS).withColumns({n: F.lit(f"own {n}") for n in names}), rows
+
+
+def test_stages_on_odd_rows(spark, tmp_path):
+    docs, rows = odd(spark)
+    spark.createDataFrame([(1, "nothing of the kind stands in any of these documents at all")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    shown = lambda df: Counter((r.doc_id, r.text, r.lang) for r in df.collect())
+    every = shown(docs)
+    out = {}
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs, str(tmp_path))
+        assert got.limit(0).count() == 0 and stage(spark, docs.limit(0), str(tmp_path)).count() == 0, name
+        assert name == "sharding" or got.columns == docs.columns
+        out[name] = got
+    assert {r.Shard for r in out["language"].collect()} == {"own Shard"}
+    assert shown(out["language"]) == Counter({k: n for k, n in every.items() if k[1]})
+    near = shown(out["near-dedup"])
+    assert sorted((i is None, i or 0) for i, *_ in near) == [(False, i) for i in (1, 5, 5, 6, 7, 9, 10)] + [(True, 0)] and set(near.values()) == {1}
+    assert {k[1] for k in near} == {k[1] for k in every} - {""}
+    assert shown(out["decontamination"]) == every
+    given, held, longest = Counter(), Counter(), Counter()
+    for r in out["mixing"].collect():
+        given[r.source] += len(r.text.split())
+        assert r.mix_key == "own mix_key"
+    for _, s, _, source_name, _ in rows:
+        held[source_name] += len((s or "").split())
+        longest[source_name] = max(longest[source_name], len((s or "").split()))
+    want = mixing.targets(dict(held))
+    assert all(abs(given[s] - want[s]) <= longest[s] for s in held)
+    assert max(shown(out["mixing"])[k] / n for k, n in every.items()) <= 2
+    assert shown(out["sharding"]) == every
+    assert {"size_in", "Shard_in", "size", "shard", "slot", "law", "carried"} <= set(out["sharding"].columns)
+    assert {(r.size_in, r.Shard_in) for r in out["sharding"].collect()} == {("own size", "own Shard")}
+
+
+def test_documents_of_one_id_all_have_their_say(spark):
+    docs = spark.createDataFrame([(5, "a one two three", "en", "s", 1), (5, "b four five six", "en", "s", 1), (6, "c seven eight nine", "en", "s", 1)], DOCS)
+    assert corpus_pipeline.drop_near_duplicates(spark, docs, "").count() == 3
+    nulls = spark.createDataFrame([(1, "a a", None, None, None), (None, "a a", None, None, None), (None, "b b", None, None, None), (None, "b b", None, None, None)], DOCS)
+    assert sorted(r.text for r in corpus_pipeline.drop_near_duplicates(spark, nulls, "").collect()) == ["a a", "b b"]
