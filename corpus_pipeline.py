@@ -29,39 +29,58 @@ def floors(learnt: DataFrame, profiles: langid.Profiles) -> DataFrame:
     return scored.groupBy(F.col("lang_pred").alias("floor_lang")).agg(F.greatest(F.lit(LEAST_SCORE), low * FLOOR_SHARE).alias("floor"))
 
 
+def _whole(docs: DataFrame) -> DataFrame:
+    """doc (all columns of docs, out of the way of other names), doc_id, text and the row key."""
+    return with_row_key(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), docs["doc_id"], docs["text"].cast("string").alias("text")))
+
+
+def _content() -> Column:
+    """A number for all of doc's columns, nulls and their places included (maps left out)."""
+    return F.xxhash64("text", F.to_json(F.col("doc").dropFields("text")))
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents of a language of LANGUAGES; undetermined ones and those below their language's floor go.
 
-    Profiles and floors come from the labelled rows of the folds that op1 learns from.
+    Profiles and floors come from the labelled rows of the folds that op1 learns from.  Null, empty and letterless texts
+    go; a null doc_id or lang is no reason to; repeated rows fare alike; without labelled rows all go.  Columns may have
+    any names.
     """
     learnt = docs.where(langid.fold(F.col("doc_id")) != 1)
     profiles = langid.fit(learnt)
     low = materialise(floors(learnt, profiles), "floors")
-    judged = langid.predict(docs, profiles, docs.columns).where(F.col("lang_pred") != langid.UNDETERMINED)
-    judged = judged.join(F.broadcast(low), F.col("lang_pred") == F.col("floor_lang"), "left")
+    names = [f"d{i}" for i in range(len(docs.columns))]
+    judged = langid.predict(docs.toDF(*names), profiles, names, names[docs.columns.index("text")])
+    judged = judged.where(F.col("lang_pred") != langid.UNDETERMINED).join(F.broadcast(low), F.col("lang_pred") == F.col("floor_lang"), "left")
     kept = judged.where(F.col("score") >= F.coalesce("floor", F.lit(LEAST_SCORE)))
     if LANGUAGES is not None:
         kept = kept.where(F.col("lang_pred").isin(list(LANGUAGES)))
-    return kept.select([judged[c] for c in docs.columns])
+    return kept.select(*names).toDF(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the row with the smallest doc_id of each group of texts linked by 5-word shingles of similarity 0.8 or more; a
-    null doc_id goes only where its group has another row."""
-    groups = materialise(jaccard.near_duplicates(docs), "near")
-    stay = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(stay, "doc_id", "left_semi")
-    if groups.where("doc_id = component_id").count() > stay.count():
-        kept = kept.dropDuplicates(["doc_id"])
-    lone = groups.where("component_id is null").limit(1).count()
-    return kept.unionByName(docs.where("doc_id is null").dropDuplicates(["text"])) if lone else kept
+    """Keep one row of each group of texts linked by 5-word shingles of similarity 0.8 or more: the one with the smallest
+    doc_id, a null one only where the group has no other; then the least by a hash of the text, then of all columns.
+
+    Null, empty and wordless texts are one group.  Rows of one doc_id whose texts lie in different groups all have their
+    say.  Of rows repeated in full one stays.  Columns may have any names.
+    """
+    groups = materialise(jaccard.groups(docs.select("doc_id", "text")), "near")
+    best = materialise(groups.groupBy("component").agg(F.min(F.struct(*ROW_KEY)).alias("best"), F.count("*").alias("n")), "best")
+    stay = best.select("best.*", F.lit(True).alias("stays"))
+    kept = _whole(docs).join(stay, ROW_KEY).drop("stays")
+    # Rows of one doc_id and text: almost never any, so the texts are dealt by their key only where there are.
+    if groups.groupBy(*ROW_KEY).count().where("count > 1").join(stay, ROW_KEY, "left_semi").limit(1).count():
+        order = Window.partitionBy(*ROW_KEY).orderBy(_content())
+        kept = kept.withColumn("place", F.row_number().over(order)).where("place = 1")
+    return kept.select("doc.*")
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a benchmark window."""
-    keyed = with_row_key(docs)
-    judged = decontaminate.flags(docs, table(spark, sf_dir, "benchmark"))
-    return keyed.join(judged, ROW_KEY, "left_anti").select(docs.columns)
+    """Drop documents that hold a benchmark window.  Null and wordless texts hold none; repeated rows fare alike; an empty
+    benchmark drops nothing.  Columns may have any names."""
+    judged = decontaminate.flags(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return _whole(docs).join(judged, ROW_KEY, "left_anti").select("doc.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,9 +88,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     taken / size is rounded systematically: on its running sum over a source's documents by size, largest first, so the
     errors of neighbours, which are of about one size, cancel.
+
+    A null source is a source; null ids are documents like any other; null, empty and wordless texts have no words to
+    give and go.  Rows repeated in full get copies as so many documents.  Columns may have any names.
     """
-    keyed = docs.withColumn("mix_key", F.xxhash64("doc_id", F.col("doc_id").isNull(), "text"))
-    mixed = materialise(mixing.Mix(keyed, "mix_key").taken().where("taken > 0"), "taken")
+    keyed = _whole(docs).select("doc", "text", F.col("doc.source").alias("source"), F.struct(*ROW_KEY, _content().alias("content")).alias("mix_key"))
+    taken = materialise(mixing.Mix(keyed, "mix_key").taken(), "taken")
+    mixed = taken.where("taken > 0")
     # In whole numbers: sums don't depend on their order.
     ratio = F.floor(F.col("taken").cast("double") / F.col("size") * RATIO_UNIT + 0.5).cast("long")
     part = F.pmod(F.xxhash64("mix_key", F.lit(mixing.SEED)), F.lit(mixing.ORDER_PARTS)).cast("int")
@@ -91,17 +114,30 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     run = run.join(starts, run["source"].eqNullSafe(F.col("s")) & (run["size"] == F.col("z")) & (run["part"] == F.col("b")))
     at = F.col("start") + F.col("within") + RATIO_UNIT // 2
     whole = [F.shiftright(x, RATIO_UNIT.bit_length() - 1) for x in (at, at + F.col("ratio"))]
-    planned = run.select("mix_key", "source", (whole[1] - whole[0]).cast("int").alias("times")).where("times > 0")
-    planned = planned.groupBy("mix_key", "source").agg(F.max("times").alias("times")).select(F.col("mix_key").alias("m_key"), F.col("source").alias("m_source"), "times")
-    met = keyed.join(planned, (keyed["mix_key"] == F.col("m_key")) & keyed["source"].cast("string").eqNullSafe(F.col("m_source")))
-    return met.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select([keyed[c] for c in docs.columns])
+    planned = run.select("mix_key", (whole[1] - whole[0]).cast("int").alias("times"))
+    # Rows repeated in full stand beside one another in the running sum: the copies of all of them go to one.
+    planned = planned.groupBy("mix_key").agg(F.sum("times").cast("int").alias("times")).where("times > 0")
+    once = keyed.select("doc", "mix_key")
+    if taken.groupBy("mix_key").count().where("count > 1").limit(1).count():
+        once = once.dropDuplicates(["mix_key"])
+    met = once.join(planned, "mix_key")
+    return met.select("doc", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy")).select("doc.*")
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """documents' columns with shard, slot, size, text_crc32 and law."""
-    own = [c for c in docs.columns if c != "doc_id"]
-    out = sharding.assign(docs, carry=tuple(own))
-    return out.select(*docs.columns, "size", "text_crc32", "law", "shard", "slot")
+    """documents' columns with shard, slot, size, text_crc32 and law.  Null, empty and repeated rows as in sharding.assign;
+    a column of docs that has one of these names goes out with ``_in`` after it."""
+    own = ["size", "text_crc32", "law", "shard", "slot"]
+    found = sharding.assign(docs.withColumn("shard_doc", F.struct(*[docs[c] for c in docs.columns])), carry=("shard_doc",))
+    names, known = [], {c.lower() for c in docs.columns} | set(own)
+    for name in docs.columns:
+        if name.lower() in own:
+            while name.lower() in known:
+                name += "_in"
+            known.add(name.lower())
+        names.append(name)
+    columns = [F.col("shard_doc")[c].alias(n) for c, n in zip(docs.columns, names, strict=True)]
+    return found.select(*columns, *own)
 
 
 STAGES = [
