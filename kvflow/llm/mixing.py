@@ -1,8 +1,9 @@
 """Mixing sources to target weights over packed blocks.  DataFrame functions only.
 
 Each source's words, in a fixed pseudorandom order of its documents, are packed into blocks of BLOCK words.  An output
-shard of SHARD_SLOTS slots draws its source counts from the multinomial distribution of the target shares; draws beyond
-a source's quota go to the sources short of theirs.  A source's uses are numbered through the shards; use u is pass
+shard of SHARD_SLOTS slots draws its source counts from the multinomial distribution of the target shares (each slot by
+one lookup in an alias table, so at a cost that doesn't grow with the sources); draws beyond a source's quota go to the
+sources short of theirs.  A source's uses are numbered through the shards; use u is pass
 u div n over its n blocks, and index u mod n goes through a keyed permutation of the n indices.  Blocks are then joined
 by (source, index).  A pass takes each block once, so no word is taken more than ceil(target / size) times, which is 2.
 
@@ -16,6 +17,8 @@ a doc_id each hold their own words; a null doc_id is a document like any other.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,12 +33,14 @@ MOST_PASSES = 2
 SEED = 42
 #: Documents of a source that one task numbers, about, and the parts a source has at least.
 ORDER_ROWS, ORDER_PARTS = 20_000, 64
-#: Sources go through the driver (a name and three numbers each) and into one array of shares.
+#: Sources go through the driver (a name and three numbers each) and into the alias table; more are refused, none is lost.
 MAX_SOURCES = 100_000
+#: Shards whose counts one task sums up in order; their totals are summed in a second step.
+SHARD_GROUP = 4096
 #: Rounds of the permutation.
 ROUNDS = 10
-#: Slots that one task fills, about.
-TASK_SLOTS = 100_000
+#: Slots that one task fills, about, and draws.
+TASK_SLOTS, TASK_DRAWS = 100_000, 10_000_000
 
 
 def targets(sizes: dict[str | None, int], weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST_PASSES) -> dict[str | None, float]:
@@ -82,6 +87,33 @@ def _uniform(*parts: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*parts), 11).cast("double") / F.lit(float(1 << 53))
 
 
+def alias_table(uses: list[int]) -> tuple[list[float], list[int]]:
+    """(chance, other): of entry i of n, taken with equal chances, chance i keeps i and the rest gives other i; together
+    each i comes up by its share of uses.  Made in whole numbers."""
+    n, total = len(uses), sum(uses)
+    left, keep, other = [u * n for u in uses], [total] * len(uses), list(range(len(uses)))
+    small, large = [i for i in range(n) if left[i] < total], [i for i in range(n) if left[i] >= total]
+    while small and large:
+        i, k = small.pop(), large.pop()
+        keep[i], other[i] = left[i], k
+        left[k] -= total - left[i]
+        (small if left[k] < total else large).append(k)
+    return [k / total for k in keep], other
+
+
+def _before(df: DataFrame, value: str, by: list[str]) -> DataFrame:
+    """df (shard, by, value) with before: the running sum of value by shard, less the row's own.
+
+    In groups of SHARD_GROUP shards, so that a task holds one group, or one sum for each group.
+    """
+    d = df.withColumn("group", (F.col("shard") / SHARD_GROUP).cast("long"))
+    sums = d.groupBy(*by, "group").agg(F.sum(value).alias("n"))
+    base = F.sum("n").over(Window.partitionBy(*(by or [F.lit(0)])).orderBy("group")) - F.col("n")
+    sums = sums.select(*by, "group", base.alias("base"))
+    within = F.sum(value).over(Window.partitionBy(*by, "group").orderBy("shard")) - F.col(value)
+    return d.withColumn("within", within).join(sums, [*by, "group"]).withColumn("before", F.col("base") + F.col("within")).drop("group", "base", "within")
+
+
 class Mix:
     """A plan over docs: tables of sources, of documents and of slots."""
 
@@ -132,37 +164,35 @@ class Mix:
         live = [t for t in self.table if t[7]]
         if not live:
             return self.spark.createDataFrame([], "shard long, source string, n long, first long")
-        edges, at = [], 0.0
-        for t in live:
-            at += t[7] / total
-            edges.append(at)
-        edges[-1] = 1.0
-        shares = F.from_json(F.lit(str(edges)), "array<double>")
-        slots = self.spark.range(total).select((F.col("id") / SHARD_SLOTS).cast("long").alias("shard"), _uniform(F.col("id"), F.lit(SEED)).alias("u"))
-        which = F.size(F.filter(shares, lambda e: e <= F.col("u"))).cast("int")
-        counts = slots.groupBy("shard", which.alias("which")).agg(F.count("*").alias("k"))
+        chance, other = alias_table([t[7] for t in live])
+        at = _uniform(F.col("id"), F.lit(SEED)) * len(live)
+        slots = self.spark.range(0, total, 1, max(self.spark.sparkContext.defaultParallelism, -(-total // TASK_DRAWS)))
+        slots = slots.select((F.col("id") / SHARD_SLOTS).cast("long").alias("shard"), at.alias("at")).withColumn("entry", F.col("at").cast("int"))
+        keeps = F.col("at") - F.col("entry") < F.get(F.from_json(F.lit(str(chance)), "array<double>"), F.col("entry"))
+        which = F.when(keeps, F.col("entry")).otherwise(F.get(F.from_json(F.lit(str(other)), "array<int>"), F.col("entry")))
+        counts = materialise(slots.groupBy("shard", which.alias("which")).agg(F.count("*").alias("k")), "draws")
         frame = self.spark.createDataFrame([(i, t[0], t[7]) for i, t in enumerate(live)], "which int, source string, uses long")
-        counts = materialise(counts, "draws")
-        order = Window.partitionBy("which").orderBy("shard")
-        ran = counts.join(F.broadcast(frame), "which").withColumn("upto", F.sum("k").over(order))
-        ran = ran.withColumn("own", F.greatest(F.lit(0), F.least("k", F.col("uses") - F.col("upto") + F.col("k"))))
-        short = ran.groupBy("shard").agg(F.sum(F.col("k") - F.col("own")).alias("open")).where("open > 0")
-        short = short.withColumn("hi", F.sum("open").over(Window.orderBy("shard"))).withColumn("lo", F.col("hi") - F.col("open"))
+        ran = _before(counts, "k", ["which"]).join(F.broadcast(frame), "which")
+        own = F.greatest(F.lit(0).cast("long"), F.least("k", F.col("uses") - F.col("before"))).alias("n")
+        ran = materialise(ran.select("shard", "which", "k", own), "quotas")
+        short = ran.groupBy("shard").agg(F.sum(F.col("k") - F.col("n")).alias("open")).where("open > 0")
+        short = _before(short, "open", []).select("shard", F.col("before").alias("lo"), (F.col("before") + F.col("open")).alias("hi"))
         given = {r.which: r.k for r in counts.groupBy("which").agg(F.sum("k").alias("k")).collect()}
         lack, at = [], 0
         for i, t in enumerate(live):
             more = max(0, t[7] - given.get(i, 0))
             if more:
-                lack.append((i, t[0], at, at + more))
+                lack.append((i, at, at + more))
                 at += more
-        own = ran.select("shard", "which", "source", F.col("own").alias("n"))
+        filled = ran.select("shard", "which", "n")
         if lack:
-            lacking = F.array(*[F.struct(F.lit(i).alias("which"), F.lit(s).cast("string").alias("source"), F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b")) for i, s, a, b in lack])
-            filled = short.select("shard", "lo", "hi", F.explode(lacking).alias("l"))
-            filled = filled.select("shard", "l.which", "l.source", (F.least("hi", "l.b") - F.greatest("lo", "l.a")).alias("n")).where("n > 0")
-            own = own.union(filled)
-        counts = own.groupBy("shard", "which", "source").agg(F.sum("n").alias("n")).where("n > 0")
-        return counts.select("shard", "source", "n", (F.sum("n").over(order) - F.col("n")).alias("first"))
+            lacking = F.from_json(F.lit(json.dumps([{"which": i, "a": a, "b": b} for i, a, b in lack])), "array<struct<which:int,a:bigint,b:bigint>>")
+            # A shard's open slots lie in few of the stretches that sources lack.
+            met = F.filter(lacking, lambda x: (x["a"] < F.col("hi")) & (x["b"] > F.col("lo")))
+            more = short.select("shard", "lo", "hi", F.explode(met).alias("l"))
+            filled = filled.union(more.select("shard", "l.which", F.least("hi", "l.b") - F.greatest("lo", "l.a")))
+        counts = materialise(filled.groupBy("shard", "which").agg(F.sum("n").alias("n")).where("n > 0"), "filled")
+        return _before(counts, "n", ["which"]).join(F.broadcast(frame), "which").select("shard", "source", "n", F.col("before").alias("first"))
 
     def slots(self) -> DataFrame:
         """shard, source, use, block, words: a row for each use of a block, words counted from its start."""
