@@ -15,6 +15,8 @@ equal results; repeated items count once each by item_id.  An empty benchmark le
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ from kvflow.llm.common import NON_WORD, ROW_KEY, lower_ascii, materialise, with_
 
 WINDOW = 10
 K = 6
-#: Grams whose windows share one kept gram.
+#: Grams whose windows share one kept gram.  winnowed() is made for K = 2 + 4 and SPAN = 1 + 4.
 SPAN = WINDOW - K + 1
 #: Bits of a gram's place: any array's.
 PLACE_BITS = 31
@@ -34,19 +36,38 @@ def tokens(text: Column) -> Column:
     return words(lower_ascii(text), NON_WORD)
 
 
+def _held(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value made once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _paired(a: Column, b: Column, by: int, merge: Callable[[Column, Column], Column]) -> Column:
+    """merge of each element of a and the one that stands by places further on in b; beyond b's end of nothing."""
+    return F.zip_with(a, F.slice(b, by + 1, F.greatest(F.size(b) - by, F.lit(0))), lambda x, y: merge(x, y))
+
+
 def winnowed(col: str) -> Column:
     """The kept grams of the words in col, each once: in every SPAN consecutive grams, the last of those with the least hash.
 
     A kept gram is one number: the upper 33 bits of its hash, then its place counted from the end of the range, so the
     least number of a window is the least hash and, among equals, the last place.  Empty under WINDOW words.
+
+    Each word is hashed once; hashes of 2, 4 and K words, and minima over 2, 4 and SPAN grams, are made of pairs.
     """
     grams = F.size(col) - (K - 1)
-    places = F.sequence(F.lit(0), F.greatest(grams - 1, F.lit(0)))
-    keyed = F.transform(places, lambda i: F.xxhash64(F.slice(col, i + 1, K)).bitwiseAND(~PLACE_MASK).bitwiseOR(F.lit(PLACE_MASK) - i))
-    starts = F.sequence(F.lit(1), F.greatest(grams - SPAN + 1, F.lit(1)))
-    # One level of nesting holds the numbers, so that they are made once.
-    held = F.transform(F.array(keyed), lambda h: F.array_distinct(F.transform(starts, lambda s: F.array_min(F.slice(h, s, SPAN)))))
-    return F.when(F.size(col) >= WINDOW, F.flatten(held)).otherwise(F.array().cast("array<bigint>"))
+
+    def of_words(h: Column) -> Column:
+        return _held(_paired(h, h, 1, F.xxhash64), lambda two: _paired(_paired(two, two, 2, F.xxhash64), two, 4, F.xxhash64))
+
+    def numbered(k: Column) -> Column:
+        return F.transform(F.slice(k, 1, F.greatest(grams, F.lit(0))), lambda x, i: x.bitwiseOR(F.lit(PLACE_MASK).cast("long")).bitwiseXOR(i.cast("long")))
+
+    def least(k: Column) -> Column:
+        return _held(_paired(k, k, 1, F.least), lambda two: _paired(_paired(two, two, 2, F.least), k, 4, F.least))
+
+    kept = _held(F.transform(col, lambda w: F.xxhash64(w)), lambda h: _held(numbered(of_words(h)), least))
+    kept = F.array_distinct(F.slice(kept, 1, F.greatest(grams - SPAN + 1, F.lit(0))))
+    return F.when(F.size(col) >= WINDOW, kept).otherwise(F.array().cast("array<bigint>"))
 
 
 def _place(kept: str) -> Column:
