@@ -410,6 +410,78 @@ def replay_unsupported(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay.unsupported(synth.entries(spark, sf_dir))
 
 
+def _written(spark: SparkSession, sf_dir: str, argv: str) -> DataFrame:
+    """A log made of events by a SQL array of strings."""
+    raw = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        F.lit("events").alias("source_id"),
+        F.col("event_id").cast("long").alias("seq"),
+        (F.col("user_id") % 4).cast("int").alias("db_id"),
+        F.transform(F.expr(argv), lambda a: a.cast("binary")).alias("argv"),
+    )
+    return parse(raw, with_slots=False)
+
+
+_K = "'k:' || cast(user_id % 97 as string)"
+_EXPIRING = f"""case event_id % 7 when 0 then array('SETEX', {_K}, '10', cast(event_id as string)) when 1 then array('set', {_K}, cast(event_id as string), 'ex', '20')
+ when 2 then array('SET', {_K}, cast(event_id as string), 'PXAT', '77000') when 3 then array('SET', {_K}, cast(event_id as string)) when 4 then array('EXPIRE', {_K}, '5')
+ when 5 then array('SET', {_K}, cast(event_id as string), 'KEEPTTL') else array('PERSIST', {_K}) end"""
+
+
+@_query(
+    "with x as (select user_id % 4 as db_id, 'k:' || (user_id % 97) as k, event_id as seq, event_id % 7 as op from events), "
+    "f as (select db_id, k, list(struct_pack(op := op, v := seq) order by seq) as ops from x group by db_id, k), "
+    "s as (select db_id, k, list_reduce(list_prepend(struct_pack(op := -1, v := -1), ops), lambda a, b: struct_pack("
+    "op := case when b.op = 4 then case when a.v >= 0 then 4 else a.op end when b.op = 6 then case when a.v >= 0 then 6 else a.op end when b.op = 5 then case when a.v >= 0 then a.op else 3 end else b.op end, "
+    "v := case when b.op in (4, 6) then a.v else b.v end)) as st from f) "
+    "select cast(db_id as int) as db_id, k as key, cast(st.v as varchar) as value, cast(case st.op when 0 then 1010000 when 1 then 1020000 when 2 then 77000 when 4 then 1005000 else -1 end as bigint) as expire_at_ms from s where st.v >= 0",
+)
+def replay_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strings and their times to live, by SETEX, options of SET, EXPIRE and PERSIST; the oracle folds each key's commands in order."""
+    s = replay.keyspace(_written(spark, sf_dir, _EXPIRING), now_ms=1_000_000)
+    return s.select("db_id", F.col("key").cast("string").alias("key"), F.col("string_val").cast("string").alias("value"), F.coalesce("expire_at_ms", F.lit(-1).cast("long")).alias("expire_at_ms"))
+
+
+_IF = f"""case event_id % 6 when 0 then array('SET', {_K}, cast(event_id as string), 'NX') when 1 then array('SET', {_K}, cast(event_id as string), 'xx', 'EX', '9')
+ when 2 then array('SETNX', {_K}, cast(event_id as string)) when 3 then array('DEL', {_K}) when 4 then array('SET', {_K}, cast(event_id as string), 'PX', '50', 'NX') else array('GET', {_K}) end"""
+
+
+@_query(
+    "with x as (select user_id % 4 as db_id, 'k:' || (user_id % 97) as k, event_id as seq, event_id % 6 as op from events), "
+    "f as (select db_id, k, list(struct_pack(op := op, v := seq) order by seq) as ops from x group by db_id, k), "
+    "s as (select db_id, k, list_reduce(list_prepend(struct_pack(op := -1, v := -1), ops), lambda a, b: case when b.op = 3 then struct_pack(op := 3, v := -1) "
+    "when (b.op in (0, 2, 4) and a.v < 0) or (b.op = 1 and a.v >= 0) then b else a end) as st from f) "
+    "select cast(db_id as int) as db_id, k as key, cast(st.v as varchar) as value, cast(case st.op when 1 then 1009000 when 4 then 1000050 else -1 end as bigint) as expire_at_ms from s where st.v >= 0",
+)
+def replay_conditional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SET with NX and XX among removals; the oracle folds each key's commands in order."""
+    s = replay.keyspace(_written(spark, sf_dir, _IF), now_ms=1_000_000, stretch=100)
+    return s.select("db_id", F.col("key").cast("string").alias("key"), F.col("string_val").cast("string").alias("value"), F.coalesce("expire_at_ms", F.lit(-1).cast("long")).alias("expire_at_ms"))
+
+
+_FLAGS = f"""case event_id % 7 when 0 then array('ZADD', 'z', 'NX', cast(event_id as string), {_K}) when 1 then array('ZADD', 'z', 'xx', 'CH', cast(event_id as string), {_K}, '7', 'NX')
+ when 2 then array('ZREM', 'z', {_K}) when 3 then array('ZADD', 'z', 'CH', cast(event_id as string), {_K}) when 4 then array('ZADD', 'z', 'GT', cast(event_id as string), {_K})
+ when 5 then array('ZADD', 'z', 'NX', 'INCR', '1', {_K}) else array('ZADD', 'z', 'NX', '1', 'x', '2', {_K}) end"""
+
+
+@_query(
+    "with x as (select user_id % 4 as db_id, 'k:' || (user_id % 97) as m, event_id as seq, event_id % 7 as op, event_id as score from events where event_id % 7 in (0, 1, 2, 3) "
+    "union all select user_id % 4, 'k:' || (user_id % 97), event_id, 0, 2 from events where event_id % 7 = 6 union all select user_id % 4, 'x', event_id, 0, 1 from events where event_id % 7 = 6), "
+    "f as (select db_id, m, list(struct_pack(op := op, v := score) order by seq) as ops from x group by db_id, m), "
+    "s as (select db_id, m, list_reduce(list_prepend(struct_pack(op := -1, v := -1), ops), lambda a, b: case when b.op = 2 then struct_pack(op := 2, v := -1) "
+    "when b.op = 3 or (b.op = 0 and a.v < 0) or (b.op = 1 and a.v >= 0) then b else a end).v as v from f) "
+    "select cast(db_id as int) as db_id, m as member, cast(v as double) as score from s where v >= 0",
+)
+def replay_zadd_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ZADD with NX, XX and CH; those with GT and INCR are left out and reported."""
+    s = replay.keyspace(_written(spark, sf_dir, _FLAGS), stretch=100).where("type = 'zset'")
+    return s.select("db_id", F.explode("zset_val").alias("member", "score")).select("db_id", F.col("member").cast("string").alias("member"), "score")
+
+
+@_query("select 'ZADD' as cmd_name, count(*) as n from events where event_id % 7 in (4, 5)")
+def replay_left_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replay.unsupported(_written(spark, sf_dir, _FLAGS))
+
+
 def _two_spaces(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """What the SETs of even and of odd users' first halves leave: the last value by key, of small and large values."""
     e = synth.entries(spark, sf_dir).where("cmd_name = 'SET'")
