@@ -62,9 +62,8 @@ def slot_of(key: bytes) -> int:
 
 
 def _bytes(key: Column) -> Column:
-    """Byte values of a binary column."""
-    digits = F.hex(key)
-    return F.transform(F.sequence(F.lit(1), F.octet_length(key)), lambda i: F.conv(F.substring(digits, 2 * i - 1, F.lit(2)), 16, 10).cast("int"))
+    """Byte values of a binary column: as text of one character a byte."""
+    return F.transform(F.split(F.decode(key, "ISO-8859-1"), ""), lambda c: F.ascii(c))
 
 
 def slot(key: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from kvflow.functions import resp, snapshot
 from kvflow.operators import counters, filters, ordering, replay, routing, transform, values
 from kvflow.operators.filters import FilterConfig
 from kvflow.operators.parse import parse
-from kvflow.plans import synth
+from kvflow.plans import packed, synth
 from kvflow.sources import aof, rdb
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,11 +149,17 @@ def cross_slot_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routing.cross_slot(synth.entries(spark, sf_dir, with_slots=True)).groupBy("cmd_name").agg(F.count("*").alias("n"))
 
 
-@_query("select count(*) as faults, 16384 as slots from (select unnest(range(16384)) as s except select s from range(16384) t(s))")
+@_query(
+    "with r as (select n_nationkey * 660 as low, n_nationkey * 660 + 640 + n_nationkey % 3 * 20 as high from nation), "
+    "o as (select s as slot, count(low) as owners from range(16384) t(s) left join r on s between low and least(high, 16383) group by s) "
+    "select cast(slot as int) as slot, owners from o where owners <> 1"
+)
 def slot_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = routing.even_routes(spark, NODES)
-    total = routing.slot_table(r).count()
-    return routing.coverage_faults(r).agg(F.count("*").alias("faults")).withColumn("slots", F.lit(total).cast("int"))
+    """Slots that nobody or several nodes own, of ranges that leave gaps, overlap and end early."""
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    low = F.col("n_nationkey") * 660
+    high = F.least(low + 640 + F.col("n_nationkey") % 3 * 20, F.lit(16383))
+    return routing.coverage_faults(nation.select(low.cast("int").alias("low"), high.cast("int").alias("high"), F.col("n_name").alias("node")))
 
 
 @_query("select seq, cast(3 + len(cast(len(argv) as varchar)) + list_sum([5 + len(cast(strlen(a) as varchar)) + strlen(a) for a in argv]) as bigint) as size from p")
@@ -325,11 +332,47 @@ def pel_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return values.pending_commands(consumer, group).select("id", "key", "delivery_ms", "deliveries")
 
 
-@_query("with s as (select s_nationkey, arg_max(s_name, s_suppkey) as replica from supplier group by s_nationkey) select s_nationkey as shard, replica from s")
+@_query(
+    "select s_nationkey as shard, arg_max('10.0.0.' || s_suppkey || ':6379', s_suppkey * 7919 % 10007) as replica from supplier where s_suppkey % 3 <> 0 group by s_nationkey"
+)
 def replica_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The replica with the greatest offset of each shard."""
-    s = spark.read.parquet(f"{sf_dir}/supplier.parquet")
-    return s.groupBy(F.col("s_nationkey").alias("shard")).agg(F.max_by("s_name", "s_suppkey").alias("replica"))
+    """The online replica with the greatest offset of each shard, from its replication report."""
+    n = F.col("s_suppkey").cast("string")
+    offset = (F.col("s_suppkey") * 7919 % 10007).cast("string")
+    state = F.when(F.col("s_suppkey") % 3 == 0, "wait_bgsave").otherwise("online")
+    line = F.concat(F.lit(":ip=10.0.0."), n, F.lit(",port=6379,state="), state, F.lit(",offset="), offset, F.lit(",lag=1"))
+    lines = F.transform(F.array_sort(F.collect_list(line)), lambda x, i: F.concat(F.lit("slave"), i.cast("string"), x))
+    report = F.concat(F.lit("role:master\r\n"), F.array_join(lines, "\r\n"), F.lit("\r\n"))
+    shards = spark.read.parquet(f"{sf_dir}/supplier.parquet").groupBy(F.col("s_nationkey").alias("shard")).agg(report.alias("report"))
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([routing.best_replica(x) for x in b.column(1).to_pylist()], pa.string())], ["shard", "replica"])
+
+    return shards.mapInArrow(run, "shard int, replica string").where("replica is not null")
+
+
+_NODES = "select n_nationkey as i, n_nationkey % 4 = 3 as spare, 655 * n_nationkey as low, case when n_nationkey = 24 then 16383 else 655 * n_nationkey + 654 end as high from nation"
+
+
+@_query(
+    f"with n as ({_NODES}) select 'id' || i as node_id, case when i % 2 = 0 then '10.0.0.' || i || ':6379' else '[::' || i || ']:6379' end as address, not spare as is_master, "
+    "case when spare then 'id' || (i - 1) else '-' end as master_id, i % 5 <> 4 as healthy, case when spare then '' when i % 3 = 0 then low || '-' || high else low || '-' || low || ',' || (low + 1) || '-' || high end as slots "
+    "from n where i % 7 <> 6"
+)
+def nodes_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cluster's own listing: host names and bus ports, addresses of both families, slots on the move, nodes in handshake."""
+    lines = []
+    for i in sorted(r.n_nationkey for r in spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey").collect()):
+        spare, low = i % 4 == 3, 655 * i
+        high = 16383 if i == 24 else low + 654
+        host = f"10.0.0.{i}" if i % 2 == 0 else f"::{i}"
+        flags = ("slave" if spare else "master") + (",fail?" if i % 5 == 4 else "") + (",handshake" if i % 7 == 6 else "")
+        ranges = "" if spare else f"{low}-{high}" if i % 3 == 0 else f"{low} {low + 1}-{high} [93-<-id0]"
+        lines.append(f"id{i} {host}:6379@16379,host{i} {flags} {f'id{i - 1}' if spare else '-'} 0 0 {i} connected {ranges}".rstrip())
+    found = routing.parse_nodes("\n".join(lines))
+    rows = [(n.node_id, n.address, n.is_master, n.master_id, n.healthy, ",".join(f"{a}-{b}" for a, b in n.slots)) for n in found]
+    return spark.createDataFrame(rows, "node_id string, address string, is_master boolean, master_id string, healthy boolean, slots string")
 
 
 @_query("with h as (select date_trunc('hour', ts) as hour, count(*) as n from events group by 1) select strftime(hour, '%Y-%m-%d %H:%M') as hour, n, n / 3600.0 as per_second, n - lag(n) over (order by hour) as change from h")
@@ -555,3 +598,134 @@ def binary_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = synth.raw(spark, sf_dir)
     noisy = F.when(F.get("argv", 0).cast("string") == "FOOCMD", F.array(F.lit(b"replconf"), F.lit(b"ack"))).otherwise(F.col("argv"))
     return filters.drop_noise(raw.withColumn("argv", noisy)).select("seq", "db_id", _joined("argv").alias("line"))
+
+
+@_query(
+    "select event_id as seq from events where event_id % 10 not in (0, 1, 2, 3, 4, 5) and not (event_id % 10 = 6 and event_id % 3 = 0)",
+)
+def noise_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What serves replication itself goes: six commands in any case, and greetings of watchers among other messages."""
+    argv = """case event_id % 10 when 0 then array('ping') when 1 then array('SELECT', '3') when 2 then array('replconf', 'GETACK', '*') when 3 then array('Opinfo', 'x') when 4 then array('MULTI')
+     when 5 then array('exec') when 6 then array('publish', if(event_id % 3 = 0, '__sentinel__:hello', 'news'), 'm') when 7 then array('SET', 'ping', 'x') else array('PINGS') end"""
+    return filters.drop_noise(_written(spark, sf_dir, argv).select("source_id", "seq", "db_id", "argv")).select("seq")
+
+
+@_query(
+    "with x as (select event_id as seq, event_id % 6 as op, 'a' || (user_id % 9) as a, 'b' || (user_id % 5) as b, 1 + event_id % 3 as n from events), "
+    "k as (select seq, case op when 0 then ['dst', a, b, 'c'][1 : n + 1] when 1 then [a, b, 'c'][1 : n] when 2 then [a, b] when 3 then [a] when 4 then ['dst', a] else [a, b, 'c'][1 : n] end as keys from x) "
+    "select seq, array_to_string(keys, '|') as keys from k"
+)
+def keys_keynum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Commands that tell the number of their keys: of a store and a script, of moves, and of several specifications."""
+    a, b, n = "'a' || (user_id % 9)", "'b' || (user_id % 5)", "cast(1 + event_id % 3 as string)"
+    some = f"slice(array({a}, {b}, 'c'), 1, cast(1 + event_id % 3 as int))"
+    argv = f"""case event_id % 6 when 0 then concat(array('ZUNIONSTORE', 'dst', {n}), {some}, array('WEIGHTS', '1')) when 1 then concat(array('EVAL', 'return 1', {n}), {some}, array('arg'))
+     when 2 then array('ZINTER', '2', {a}, {b}, 'WITHSCORES') when 3 then array('LMPOP', '1', {a}, 'LEFT') when 4 then array('ZDIFFSTORE', 'dst', '1', {a}) else concat(array('FCALL', 'f', {n}), {some}) end"""
+    return _written(spark, sf_dir, argv).select("seq", _joined("keys").alias("keys"))
+
+
+@_query(
+    "with x as (select event_id as seq, event_id % 4 as op, 'a' || (user_id % 9) as a, 'b' || (user_id % 5) as b from events) "
+    "select seq, case op when 0 then a || '|' || b when 1 then a || '|' || b when 2 then a || '|' || b else a end as keys from x"
+)
+def keys_keyword(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Commands whose keys follow a word, or whose last keys do."""
+    a, b = "'a' || (user_id % 9)", "'b' || (user_id % 5)"
+    argv = f"""case event_id % 4 when 0 then array('XREAD', 'COUNT', '2', 'streams', {a}, {b}, '0', '0') when 1 then array('GEORADIUSBYMEMBER', {a}, 'm', '3', 'km', 'StoreDist', {b})
+     when 2 then array('GEORADIUS', {a}, '1', '2', '3', 'km', 'STORE', {b}) else array('XREADGROUP', 'GROUP', 'g', 'c', 'STREAMS', {a}, '>') end"""
+    return _written(spark, sf_dir, argv).select("seq", _joined("keys").alias("keys"))
+
+
+@_query(
+    "select file_seq, cast(user_id % 8 as varchar) as source_id, event_id as ordinal from (select *, event_id * 7 % 1000 as file_seq, lag(event_id * 7 % 1000) over (partition by user_id % 8 order by event_id) as before from events) where file_seq <= before"
+)
+def order_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    files = events.select((F.col("user_id") % 8).cast("string").alias("source_id"), F.col("event_id").alias("ordinal"), (F.col("event_id") * 7 % 1000).alias("file_seq"))
+    return ordering.order_faults(files)
+
+
+_PARTS = "file base.aof seq 1 type b\nfile \"incr one.aof\" seq 1 type i\n# a note\n\nfile incr2.aof seq 2 type i\n"
+
+
+@_query(
+    "with x as (select event_id as seq, event_id % 3 as part, 1000 + event_id // 10 as ts, event_id % 5 as db from events), "
+    "c as (select min(part * 1000000000 + seq) as cut from x, (select 1000 + max(event_id) // 30 as until from events) where part > 0 and ts > until) "
+    "select seq, cast(db as int) as db_id, 'SET|k' || seq || '|v' as line from x, c where part = 0 or part * 1000000000 + seq < cut"
+)
+def manifest_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log in three parts with time stamps, named by a manifest and cut at a time: the base stays whole."""
+    parts = aof.parse_manifest(_PARTS)
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    until = events.agg(1000 + F.floor(F.max("event_id") / 30)).first()[0]
+    seq, text = F.col("event_id").cast("string"), lambda c: c.cast("binary")
+    stamp = F.concat(F.lit("#TS:"), (1000 + F.floor(F.col("event_id") / 10)).cast("string"), F.lit("\r\n")).cast("binary")
+    select = F.array(F.lit(b"SELECT"), text((F.col("event_id") % 5).cast("string")))
+    wire = F.concat(stamp, resp.encoded(select), resp.encoded(F.array(F.lit(b"SET"), text(F.concat(F.lit("k"), seq)), F.lit(b"v"))))
+    name = F.get(F.array(*[F.lit(p.file) for p in parts]), (F.col("event_id") % 3).cast("int"))
+    written = events.groupBy(name.alias("path")).agg(F.array_sort(F.collect_list(F.struct("event_id", wire.alias("w")))).alias("ws"))
+    files = written.select("path", F.unhex(F.array_join(F.transform("ws", lambda x: F.hex(x["w"])), "")).alias("content"))
+    rows = aof.decode_parts(files, parts, "log", until)
+    key = F.get("argv", 1).cast("string")
+    return rows.select(F.expr("substring(cast(argv[1] as string), 2)").cast("long").alias("seq"), "db_id", F.concat(F.lit("SET|"), key, F.lit("|v")).alias("line"))
+
+
+def _decoder(name: str, make: Callable, sql: str, columns: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """A query that decodes the dumped values of packed.make into commands: key, ordinal, line."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = rdb.decode_large(packed.dumps(spark, sf_dir, make))
+        if columns:
+            return columns(rows)
+        return rows.select(F.get("argv", 1).cast("string").alias("key"), "ordinal", _joined("argv").alias("line"))
+
+    run.__name__, run.__doc__ = name, make.__doc__ or f"Values of {make.__name__[3:]}, decoded"
+    _query(f"with o as (select *, 'u:' || user_id as key, row_number() over (partition by user_id order by event_id) as r, count(*) over (partition by user_id) as n, min(event_id) over (partition by user_id) as base, max(event_id) over (partition by user_id) as last from events) {sql}")(run)
+
+
+_decoder(
+    "decode_listpack",
+    packed.of_listpack,
+    "select key, cast((r - 1) * 4 + j as int) as ordinal, 'rpush|' || key || '|' || [event_type, cast(event_id as varchar), cast(-event_id as varchar), cast(event_id * 1000003 as varchar)][j + 1] as line from o, range(4) t(j) "
+    "union all select distinct key, cast(4 * n as int), 'rpush|' || key || '|end' from o",
+)
+_decoder(
+    "decode_ziplist",
+    packed.of_ziplist,
+    "select key, cast(r - 1 as int) as ordinal, 'hset|' || key || '|f' || event_id || '|' || case when event_id % 5 = 0 then repeat(event_type, 20) else cast((event_id % 20 - 5) * cast(10 ** (event_id % 12) as bigint) as varchar) end as line from o",
+)
+_decoder(
+    "decode_intset",
+    packed.of_intset,
+    "select key, cast(r - 1 as int) as ordinal, 'sadd|' || key || '|' || (event_id * case when base % 3 <> 0 then 1 when base % 2 <> 0 then 100000 else 1000000000000 end) as line from o",
+)
+_decoder(
+    "decode_lzf",
+    packed.of_lzf,
+    "select key, 0 as ordinal, 'set|' || key || '|' || repeat(event_type, cast(4 + n % 20 as int)) as line from o where r = 1",
+)
+_decoder(
+    "decode_zset",
+    packed.of_zset,
+    "select key, cast(r - 1 as int) as ordinal, 'zadd|' || key || '|' || case when event_id % 4 = 0 then cast(event_id // 4 as varchar) else cast(event_id / 4 as varchar) end || '|m' || event_id as line from o",
+)
+_decoder(
+    "decode_stream",
+    packed.of_stream,
+    "select key, cast(row_number() over (partition by user_id order by event_id) - 1 as int) as ordinal, 'xadd|' || key || '|' || event_id || '-0|' || case when event_id % 2 = 1 then 'type|' else 'other|' end || event_type as line from o where event_id % 5 <> 0 "
+    "union all select key, cast(count(*) filter (event_id % 5 <> 0) as int), 'xsetid|' || key || '|' || max(event_id) || '-0' from o group by key "
+    "union all select key, cast(1 + count(*) filter (event_id % 5 <> 0) as int), 'XGROUP|CREATE|' || key || '|g|' || max(event_id) || '-0' from o group by key "
+    "union all select key, cast(2 + count(*) filter (event_id % 5 <> 0) as int), 'xclaim|' || key || '|g|c|0|' || max(event_id) || '-0|TIME|5000|RETRYCOUNT|3|JUSTID|FORCE' from o group by key",
+    lambda rows: rows.select(F.when(F.get("argv", 0).cast("string") == "XGROUP", F.get("argv", 2)).otherwise(F.get("argv", 1)).cast("string").alias("key"), "ordinal", _joined("argv").alias("line")),
+)
+_decoder(
+    "decode_bloom",
+    packed.of_bloom,
+    "select distinct key, 0 as ordinal, '1' as at, 73 as size from o union all select distinct key, 1, cast(n + 1 as varchar), cast(n as int) from o",
+    lambda rows: rows.select(F.get("argv", 1).cast("string").alias("key"), "ordinal", F.get("argv", 2).cast("string").alias("at"), F.octet_length(F.get("argv", 3)).alias("size")),
+)
+_decoder(
+    "decode_module_string",
+    packed.of_module_string,
+    "select key, 0 as ordinal, 'EXSET|' || key || '|' || event_type || '|ABS|' || event_id || '|FLAGS|' || (event_id % 7) as line from o where r = n",
+)

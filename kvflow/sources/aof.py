@@ -215,8 +215,13 @@ def read_multipart(spark: SparkSession, folder: str, manifest: str, until: int =
     """Commands of the parts that folder/manifest names, as one source; a part is a task.  The base is never cut."""
     text = "\n".join(r.value for r in spark.read.text(f"{folder}/{manifest}").collect())
     parts = parse_manifest(text)
-    rank = {p.file: (i, p.kind) for i, p in enumerate(parts)}
     found = spark.read.format("binaryFile").load([f"{folder}/{p.file}" for p in parts]).select("path", "content")
+    return decode_parts(found, parts, manifest, until, absorb)
+
+
+def decode_parts(files: DataFrame, parts: list[Part], source: str, until: int = 0, absorb: bool = True) -> DataFrame:
+    """Commands of the parts in a table of path and content, as one source.  The base is never cut."""
+    rank = {p.file: (i, p.kind) for i, p in enumerate(parts)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import io
@@ -225,9 +230,9 @@ def read_multipart(spark: SparkSession, folder: str, manifest: str, until: int =
         for b in batches:
             for name, content in zip(b.column(0), b.column(1), strict=True):
                 i, _ = rank[unquote(os.path.basename(name.as_py()))]
-                yield from _batches(manifest, read_log(io.BytesIO(content.as_py()), i * PART_ROWS, 0))
+                yield from _batches(source, read_log(io.BytesIO(content.as_py()), i * PART_ROWS, 0))
 
-    rows = found.mapInArrow(run, SCHEMA)
+    rows = files.select("path", "content").mapInArrow(run, SCHEMA)
     if until:
         base = [i for i, k in rank.values() if k == BASE]
         first = (max(base) + 1) * PART_ROWS if base else 0

@@ -23,7 +23,7 @@ def test_entry(spark):
 
 
 @needs_data
-@pytest.mark.parametrize("name", ["entries_parse", "filter_all", "slot_route", "replay_list", "rdb_roundtrip", "db_forward_fill", "parse_filter_route"])
+@pytest.mark.parametrize("name", ["entries_parse", "filter_all", "slot_route", "replay_list", "rdb_roundtrip", "db_forward_fill", "parse_filter_route", "replay_expiry", "replay_conditional", "replay_zadd_flags", "manifest_cut", "keys_keynum", "keys_keyword", "decode_listpack", "decode_stream"])
 def test_against_oracle(spark, name):
     duckdb = pytest.importorskip("duckdb")
     c = duckdb.connect()
