@@ -34,7 +34,7 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urlfilter.judge_deep(table(spark, sf_dir, "pages"))
+    return urlfilter.judge(table(spark, sf_dir, "pages"))
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,4 +62,4 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate,
     "op10_quality": op10_quality,
 }
-ORACLE_SQL: dict[str, str] = {"op6_exact_dedup": exactdedup.ORACLE_SQL, "op8_secrets": secretscan.ORACLE_SQL, "op9_decontaminate": decontaminate.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_url_filter": urlfilter.ORACLE_SQL, "op6_exact_dedup": exactdedup.ORACLE_SQL, "op8_secrets": secretscan.ORACLE_SQL, "op9_decontaminate": decontaminate.ORACLE_SQL}

@@ -1,20 +1,15 @@
-"""URL filter: host and path rules, and beyond them a character language-model ratio.  DataFrame functions only.
+"""URL filter by character language models of accepted and rejected URLs.  DataFrame functions only.
 
-URLs that a rule decides train two character models, of accepted and of rejected URLs.  Characters fall into CLASSES
-classes; a model gives the chance of a class after the two before it, smoothed by the chance after one, that by the
-chance after none, so a context counts as far as it was seen (variable order).  A URL's score is its log-likelihood
-difference (accepted less rejected) by character; the cut between allow and block is calibrated on the rule-decided
-URLs to the least balanced error.
-
-judge() reads classes and two characters of context; judge_deep(), which op4_url_filter runs, reads the characters
-themselves with up to ORDER of context, and its counts stand in a table that grows with the pages.
-
-judge()'s model is a table of CLASSES ** 3 rows at any input size; it reaches the scoring stage as one array, by a scalar
-subquery.  No URL is shuffled.
+Host rules decide what they fit.  For the rest, two models are learned from the URLs that the rules accept and reject:
+the chance of a character after up to ORDER characters before it, smoothed with its chance after one less, and so on to
+none, so a context counts as far as it was seen (variable order).  Counts stand in a table that grows with the pages.  A
+URL's score is its log-likelihood difference (accepted less rejected) by character; the cut between allow and block has
+the least balanced error on rule-decided URLs that the models were not learned from: those whose MD5 begins below
+HELD_OUT.  Where these lack a class, all rule-decided URLs stand in for them.
 
 Defined results: null URLs and those without ``://`` have empty host and path and no rule, and are blocked; so is no
 other URL where rules leave accepted or rejected URLs without an example.  Repeated rows get equal results.  An empty
-table gives no rows.
+table gives no rows.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,13 +28,12 @@ RULES = (
     ("block", "com/de/"),
 )
 MAX_RULES = 1000
-#: One character for each class: letters, a digit, and five sorts of others.
-ALPHABET = "abcdefghijklmnopqrstuvwxyz0/.-?~"
-CLASSES = len(ALPHABET)
 #: Weight of the shorter context in the longer one's estimate, in observations.
 BACKOFF = 4.0
-#: Characters of context that judge_deep() counts, and the mark of a text's start.
+#: Characters of context that are counted, and the mark of a text's start.
 ORDER, START = 6, "\x02"
+#: URLs kept for calibration: those whose MD5 begins with a lesser hexadecimal digit.
+HELD_OUT = "3"
 #: Scores are cut to this range, and calibrated in steps of BIN.
 RANGE, BIN = 8.0, 0.01
 
@@ -64,41 +58,6 @@ def matching_rule(host: Column, path: Column, rules: tuple[tuple[str, str], ...]
     return F.coalesce(*rule, none), F.coalesce(*verdict, none)
 
 
-def grams(url: Column) -> Column:
-    """One number below CLASSES ** 3 for each character after ``://``: its class and those of the two before it."""
-    shown = F.lower(F.regexp_replace(url, r"(?s)^.*?://", ""))
-    digits = F.translate(shown, "123456789_&=#%+", "000000000-?????")
-    plain = F.regexp_replace(digits, r"[^a-z0/.\-?]", "~")
-    padded = F.concat(F.lit("//"), F.coalesce(plain, F.lit("")))
-    codes = F.transform(F.split(padded, "(?<=.)(?=.)"), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
-
-    def three(i: Column) -> Column:
-        return F.get("codes", i - 2) * (CLASSES * CLASSES) + F.get("codes", i - 1) * CLASSES + F.get("codes", i)
-
-    return codes, F.when(F.size("codes") > 2, F.transform(F.sequence(F.lit(2), F.greatest(F.size("codes") - 1, F.lit(2))), three)).otherwise(F.array().cast("array<int>"))
-
-
-def fit(examples: DataFrame) -> DataFrame:
-    """examples: accepted (boolean), grams.  One row, one array: the log-likelihood difference of each gram."""
-    counts = examples.select("accepted", F.explode("grams").alias("gram")).groupBy("gram").agg(
-        F.sum(F.col("accepted").cast("long")).alias("yes"), F.sum((~F.col("accepted")).cast("long")).alias("no")
-    )
-    grid = examples.sparkSession.range(CLASSES**3).select(F.col("id").cast("int").alias("gram")).join(counts, "gram", "left").na.fill(0, ["yes", "no"])
-    b, c = (F.col("gram") / CLASSES).cast("int") % CLASSES, F.col("gram") % CLASSES
-    grid = grid.withColumns({"a": (F.col("gram") / (CLASSES * CLASSES)).cast("int"), "b": b, "c": c})
-
-    def chance(n: str) -> Column:
-        def over(*by: str) -> Column:
-            return F.sum(n).over(Window.partitionBy(*by))
-
-        none = (over("c") + 1.0) / (F.sum(n).over(Window.partitionBy(F.lit(0))) + float(CLASSES))
-        one = (over("b", "c") + BACKOFF * none) / (over("b") + BACKOFF)
-        return (F.col(n) + BACKOFF * one) / (over("a", "b") + BACKOFF)
-
-    scored = grid.select("gram", (F.log(chance("yes")) - F.log(chance("no"))).alias("ratio"))
-    return scored.agg(F.transform(F.array_sort(F.collect_list(F.struct("gram", "ratio"))), lambda x: x["ratio"]).alias("ratios"))
-
-
 def calibrate(scored: DataFrame) -> DataFrame:
     """scored: accepted, score.  One row, cut: the score at and above which the balanced error is least; the lowest of equals.
     Null where a class has no example."""
@@ -125,7 +84,7 @@ def contexts(text: Column, order: int) -> Column:
     return F.when(F.length(text) > 0, F.transform(place, lambda i: F.substring(padded, F.greatest(F.lit(1), i - order), F.least(i, F.lit(order + 1))))).otherwise(F.array().cast("array<string>"))
 
 
-def fit_deep(examples: DataFrame, order: int = ORDER) -> DataFrame:
+def fit(examples: DataFrame, order: int = ORDER) -> DataFrame:
     """examples: accepted (boolean), shown.  gram, yes, no, yes_all, no_all: how often the last character of gram follows
     the rest of it and how often anything does, in either sort of URLs.  Grams of 1 to order + 1 characters, those seen."""
     each = examples.select("accepted", F.explode(contexts(F.col("shown"), order)).alias("longest"))
@@ -142,7 +101,7 @@ def _tails(longest: str) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(longest)), lambda n: F.substring(F.col(longest), -n, n))
 
 
-def score_deep(parsed: DataFrame, model: DataFrame) -> DataFrame:
+def score(parsed: DataFrame, model: DataFrame) -> DataFrame:
     """longest, ratio: the log-likelihood difference of each longest gram that parsed (shown) holds.
 
     The chance of a character after a context is smoothed by that after the context less its first character, and so on to
@@ -163,46 +122,60 @@ def score_deep(parsed: DataFrame, model: DataFrame) -> DataFrame:
     return steps.withColumn("kinds", kinds.scalar()).select("longest", (F.log(chance("yes")) - F.log(chance("no"))).alias("ratio"))
 
 
-def judge_deep(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: tuple[tuple[str, str], ...] = RULES) -> DataFrame:
-    """As judge(), with contexts of up to ORDER real characters, their counts in a table that grows with pages."""
+def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: tuple[tuple[str, str], ...] = RULES) -> DataFrame:
+    """id_col, host, path, rule, verdict, score: a row for each row of pages."""
     url = F.col(url_col).cast("string")
     host, path = host_and_path(url)
     parsed = pages.select(F.col(id_col), url.alias("url"), host.alias("host"), path.alias("path"))
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     parsed = parsed.withColumns({"rule": rule, "ruled": verdict, "shown": F.coalesce(characters(F.col("url")), F.lit(""))})
-    parsed = parsed.withColumn("is_url", F.coalesce(F.contains("url", F.lit("://")), F.lit(False))).drop("url")
-    parsed = materialise(parsed, "urls")
+    parsed = parsed.withColumn("is_url", F.coalesce(F.contains("url", F.lit("://")), F.lit(False)))
+    parsed = materialise(parsed.withColumn("held_out", F.coalesce(F.substring(F.md5("url"), 1, 1) < HELD_OUT, F.lit(False))).drop("url"), "urls")
     accepted = F.col("ruled") == "allow"
-    ratios = score_deep(parsed, fit_deep(parsed.where("ruled is not null").withColumn("accepted", accepted)))
+    ratios = score(parsed, fit(parsed.where("ruled is not null and not held_out").withColumn("accepted", accepted)))
     # Each distinct URL once: its grams meet their ratios by a join, and come together by the URL.
     distinct = parsed.select("shown").distinct()
     each = distinct.select("shown", F.explode(contexts(F.col("shown"), ORDER)).alias("longest"))
     sums = each.join(ratios, "longest").groupBy("shown").agg(F.avg("ratio").alias("mean"))
-    score = F.coalesce(F.greatest(F.lit(-RANGE), F.least(F.lit(RANGE), F.round("mean", 9))), F.lit(0.0))
-    scored = materialise(parsed.join(sums, "shown", "left").withColumn("score", score).drop("shown", "mean"), "url-scores")
-    cut = materialise(calibrate(scored.where("ruled is not null").withColumn("accepted", accepted)), "url-cut")
+    bounded = F.coalesce(F.greatest(F.lit(-RANGE), F.least(F.lit(RANGE), F.round("mean", 9))), F.lit(0.0))
+    scored = materialise(parsed.join(sums, "shown", "left").withColumn("score", bounded).drop("shown", "mean"), "url-scores")
+    known = scored.where("ruled is not null").withColumn("accepted", accepted)
+    cuts = calibrate(known.where("held_out")).select(F.lit(0).alias("n"), "cut").union(calibrate(known).select(F.lit(1), "cut"))
+    cut = materialise(cuts.agg(F.min_by("cut", F.when(F.col("cut").isNotNull(), F.col("n"))).alias("cut")), "url-cut")
     by_model = F.when(~F.col("is_url"), "block").when(F.col("cut").isNull() | (F.col("score") >= F.col("cut")), "allow").otherwise("block")
     return scored.withColumn("cut", cut.scalar()).select(id_col, "host", "path", "rule", F.coalesce("ruled", by_model).alias("verdict"), "score")
 
 
-def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: tuple[tuple[str, str], ...] = RULES) -> DataFrame:
-    """id_col, host, path, rule, verdict, score: a row for each row of pages."""
-    url = F.col(url_col).cast("string")
-    host, path = host_and_path(url)
-    parsed = pages.select(F.col(id_col), url.alias("url"), host.alias("host"), path.alias("path"))
-    rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
-    codes, three = grams(F.col("url"))
-    parsed = parsed.withColumns({"rule": rule, "ruled": verdict, "codes": codes}).withColumn("grams", three).drop("codes")
-    parsed = materialise(parsed.withColumn("is_url", F.coalesce(F.contains("url", F.lit("://")), F.lit(False))).drop("url"), "urls")
-    known = parsed.where("ruled is not null").withColumn("accepted", F.col("ruled") == "allow")
-    model = materialise(fit(known), "url-model")
-
-    def scored(df: DataFrame) -> DataFrame:
-        total = F.aggregate("grams", F.lit(0.0), lambda s, g: s + F.get("ratios", g))
-        score = F.when(F.size("grams") > 0, F.greatest(F.lit(-RANGE), F.least(F.lit(RANGE), total / F.size("grams")))).otherwise(0.0)
-        return df.withColumn("ratios", model.scalar()).withColumn("score", score).drop("ratios", "grams")
-
-    cut = materialise(calibrate(scored(known)), "url-cut")
-    out = scored(parsed).withColumn("cut", cut.scalar())
-    by_model = F.when(~F.col("is_url"), "block").when(F.col("cut").isNull() | (F.col("score") >= F.col("cut")), "allow").otherwise("block")
-    return out.select(id_col, "host", "path", "rule", F.coalesce("ruled", by_model).alias("verdict"), "score")
+_FITS = " ".join(
+    f"when (host = '{h}' or ends_with(host, '.{h}')) and starts_with(path, '/{p}') then '{v}:{r}'"
+    for v, r in sorted(RULES, key=lambda r: (-len(r[1]), r[1]))
+    for h, _, p in [r.partition("/")]
+)
+_LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_PATTERN = r"(?s)^.*?://([^/?#]*)([^?#]*)"
+_CUT = f"""select min_by(bin, struct_pack(error := error, bin := bin)) * {BIN} as cut from (
+  select bin, coalesce(sum(y) over (order by bin rows between unbounded preceding and 1 preceding), 0) / sum(y) over () +
+    (1 - coalesce(sum(n) over (order by bin rows between unbounded preceding and 1 preceding), 0) / sum(n) over ()) as error
+  from (select floor(score / {BIN}) as bin, count(*) filter (ruled = 'allow') as y, count(*) filter (ruled = 'block') as n from scored where ruled is not null and ({{0}}) group by 1)
+  qualify sum(y) over () > 0 and sum(n) over () > 0)"""
+ORACLE_SQL = f"""
+with split as (select page_id, url, translate(coalesce(regexp_extract(url, '{_PATTERN}', 1), ''), {_LETTERS}) as host, coalesce(regexp_extract(url, '{_PATTERN}', 2), '') as path from pages),
+fitted as (select *, case {_FITS} end as fit from split),
+parsed as (select row_number() over () as r, page_id, host, path, substr(fit, 7) as rule, substr(fit, 1, 5) as ruled, coalesce(contains(url, '://'), false) as is_url,
+  coalesce(md5(url)[1] < '{HELD_OUT}', false) as held_out, coalesce(lower(regexp_replace(url, '(?s)^.*?://', '')), '') as shown from fitted),
+each as (select r, ruled, held_out, substr(pad, greatest(1, i - {ORDER}), least(i, {ORDER + 1})) as longest
+  from (select *, chr(2) || shown as pad, unnest(range(2, length(shown) + 2)) as i from parsed)),
+whole as (select longest, count(*) filter (ruled = 'allow') as y, count(*) filter (ruled = 'block') as n from each where ruled is not null and not held_out group by longest),
+counts as (select gram, sum(y) as y, sum(n) as n from (select unnest([right(longest, k) for k in range(1, length(longest) + 1)]) as gram, y, n from whole) group by gram),
+totals as (select left(gram, length(gram) - 1) as context, sum(y) as y_all, sum(n) as n_all from counts group by 1),
+kinds as (select count(*) + 1 as kinds from counts where length(gram) = 1),
+ends as (select longest, unnest(range(1, length(longest) + 1)) as k from (select distinct longest from each)),
+steps as (select longest, list(struct_pack(y := coalesce(y, 0)::double, n := coalesce(n, 0)::double, ya := coalesce(y_all, 0)::double, na := coalesce(n_all, 0)::double) order by k) as steps
+  from ends left join counts on gram = right(longest, k) left join totals on context = left(right(longest, k), k::int - 1) group by longest),
+ratios as (select longest, ln(p.y) - ln(p.n) as ratio from (select longest, list_reduce(list_prepend(struct_pack(y := 1.0::double / kinds, n := 1.0::double / kinds, ya := 0::double, na := 0::double), steps),
+  lambda a, b: struct_pack(y := (b.y + {BACKOFF} * a.y) / (b.ya + {BACKOFF}), n := (b.n + {BACKOFF} * a.n) / (b.na + {BACKOFF}), ya := 0::double, na := 0::double)) as p from steps, kinds)),
+scored as (select p.*, coalesce(greatest(-{RANGE}, least({RANGE}, round(mean, 9))), 0) as score from parsed p left join (select r, avg(ratio) as mean from each join ratios using (longest) group by r) using (r)),
+cut as (select coalesce(({_CUT.format("held_out")}), ({_CUT.format("true")})) as cut)
+select page_id, host, path, nullif(rule, '') as rule, case when ruled in ('allow', 'block') then ruled when not is_url then 'block' when cut is null or score >= cut then 'allow' else 'block' end as verdict, cast(score as double) as score
+from scored, cut
+"""

@@ -1,5 +1,6 @@
 """The URL filter's model over real characters with long contexts."""
 
+import hashlib
 import math
 from collections import Counter
 
@@ -12,7 +13,7 @@ def test_deep_contexts(spark):
     free = ["https://b.org/en/155", "https://b.org/en/255", "https://b.org/кот5", "https://b.org/дом5"]
     urls = ruled + free + [None, "", "nothing", "http://", free[0]]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
-    got = {r.page_id: r for r in urlfilter.judge_deep(pages, rules=rules).collect()}
+    got = {r.page_id: r for r in urlfilter.judge(pages, rules=rules).collect()}
     assert len(got) == len(urls)
     scores = [got[len(ruled) + i].score for i in range(4)]
     assert scores[0] < 0 < scores[1] and scores[2] < 0 < scores[3] and got[len(urls) - 1][1:] == got[len(ruled)][1:]
@@ -20,6 +21,8 @@ def test_deep_contexts(spark):
 
     n, all_ = {True: Counter(), False: Counter()}, {True: Counter(), False: Counter()}
     for i, u in enumerate(ruled):
+        if hashlib.md5(u.encode()).hexdigest() < urlfilter.HELD_OUT:
+            continue
         s = "\x02" + u.partition("://")[2]
         for k in range(1, len(s)):
             for j in range(max(0, k - urlfilter.ORDER), k + 1):
@@ -37,4 +40,4 @@ def test_deep_contexts(spark):
         s = "\x02" + urls[i].partition("://")[2]
         want = sum(log_chance(s, k, True) - log_chance(s, k, False) for k in range(1, len(s))) / (len(s) - 1)
         assert math.isclose(got[i].score, want, abs_tol=1e-8), urls[i]
-    assert urlfilter.judge_deep(pages.limit(0)).count() == 0
+    assert urlfilter.judge(pages.limit(0)).count() == 0
