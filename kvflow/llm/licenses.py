@@ -4,8 +4,10 @@ Rolling word k-gram hashes of every document are joined to the places of the sam
 at document word p and template word q votes for the diagonal p - q; on one diagonal a template stands unbroken.  Votes
 are summed by (document, template, diagonal), neighbouring diagonals are merged (an inserted or dropped word moves the
 rest of a template to the next one), and the merged span is verified: a short phrase must have every gram of one
-diagonal, a long notice must have MIN_COVER of its words matched within a span near its length.  Hash hits are
-compared word for word in the join, so no hash decides.
+diagonal, a long notice must have MIN_COVER of its words matched.  A diagonal is merged with the one of most matched
+words near it (the least of equals), and near is so defined that a span is at most MAX_STRETCH times its template and
+DIAGONAL_GAP words long: chance hits beside a notice stay out of its span or in one of their own.  Hash hits are compared
+word for word in the join, so no hash decides.
 
 Templates are a constant of this module or a parameter of at most MAX_TEMPLATE_WORDS words, so their side is broadcast.
 
@@ -41,15 +43,22 @@ NOTICES = {
     "cc-by": "this work is licensed under a creative commons attribution 4 0 international license",
     "cc0": "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work",
     "unlicense": "this is free and unencumbered software released into the public domain",
+    "zlib": "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
+    "bsl": "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software",
+    "epl": "this program and the accompanying materials are made available under the terms of the eclipse public license v 2 0 which is available at",
+    "mit-terms": "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement",
+    "apache-terms": "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license",
+    "gpl-terms": "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for more details",
+    "bsd-terms": "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
 }
-#: A notice whose label is written in another way.
-ALIASES = {"gpl-line": "gpl"}
+#: Notices whose label is written in another way.
+ALIASES = {"gpl-line": "gpl", "mit-terms": "mit", "apache-terms": "apache", "gpl-terms": "gpl", "bsd-terms": "bsd"}
 PHRASE_K, NOTICE_K = 2, 4
 MIN_COVER = 0.6
-#: Diagonals this near are one: so many words may be inserted or dropped at a time.
-DIAGONAL_GAP = 6
-#: Verified spans are at most this many times the template's length.
-MAX_STRETCH = 1.5
+#: Verified spans are at most this many times the template's length, and this many words.
+MAX_STRETCH, DIAGONAL_GAP = 1.5, 6
+#: Above any document's number of words.
+MOST_WORDS = 1 << 31
 MAX_TEMPLATE_WORDS = 20_000
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -128,19 +137,43 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", listed
 
 
 def _merged(votes: DataFrame) -> DataFrame:
-    """Notices that stand in a document, after neighbouring diagonals are merged: label, start, stop, cover.
-
-    A diagonal whose place in the text is far from the last one's starts another span.
-    """
+    """Notices that stand in a document, after neighbouring diagonals are merged: label, start, stop, cover."""
     matched = F.array_distinct(F.flatten(F.transform("q", lambda q: F.sequence(q, q + NOTICE_K - 1))))
     own = votes.select(*ROW_KEY, "template", "label", "n", "diagonal", matched.alias("at"))
-    order = Window.partitionBy(*ROW_KEY, "template").orderBy("diagonal")
-    far = F.col("diagonal") - F.lag("diagonal").over(order) > DIAGONAL_GAP
-    own = own.withColumn("far", F.coalesce(far.cast("int"), F.lit(0))).withColumn("span", F.sum("far").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = own.groupBy(*ROW_KEY, "template", "label", "n", "span").agg(
+    # As far to either side as half of what a span may be longer than its template.
+    far = F.col("n") * ((MAX_STRETCH - 1) / 2) + DIAGONAL_GAP / 2
+    near = Window.partitionBy(*ROW_KEY, "template").orderBy(F.col("diagonal") / far).rangeBetween(-1, 1)
+    best = F.max(F.size("at").cast("long") * MOST_WORDS - F.col("diagonal")).over(near)
+    merged = own.withColumn("span", best).groupBy(*ROW_KEY, "template", "label", "n", "span").agg(
         F.flatten(F.collect_list("at")).alias("at"),
         F.min(F.col("diagonal") + F.array_min("at")).alias("start"),
         F.max(F.col("diagonal") + F.array_max("at") + 1).alias("stop"),
     )
-    cover = F.size(F.array_distinct("at")) / F.col("n")
-    return merged.withColumn("cover", cover).where((F.col("cover") >= MIN_COVER) & (F.col("stop") - F.col("start") <= MAX_STRETCH * F.col("n") + DIAGONAL_GAP))
+    return merged.withColumn("cover", F.size(F.array_distinct("at")) / F.col("n")).where(F.col("cover") >= MIN_COVER)
+
+
+def _sql_templates() -> str:
+    rows = [f"({t}, '{label}', {is_phrase}, {w})" for t, label, is_phrase, w in templates()]
+    return f"(values {', '.join(rows)}) as v(template, label, is_phrase, words)"
+
+
+_TOKENS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
+ORACLE_SQL = f"""
+with t as (select template, label, is_phrase, words, len(words) as n, case when is_phrase then {PHRASE_K} else {NOTICE_K} end as k from {_sql_templates()}),
+g as (select template, k, q, array_to_string(words[q + 1:q + k], ' ') as gram from (select *, unnest(range(n - k + 1)) as q from t)),
+d as (select row_number() over () as r, doc_id, {_TOKENS} as w from documents),
+p as (select r, k, p, array_to_string(w[p + 1:p + k], ' ') as gram from (select r, w, unnest(range(len(w))) as p from d), (values ({PHRASE_K}), ({NOTICE_K})) as ks(k) where p + k <= len(w)),
+votes as (select r, template, p - q as diagonal, list(distinct q) as q from p join g using (k, gram) group by all),
+base as (select r, count(*) as n_base, min(diagonal) as first_word, max(diagonal) as last_word, list(distinct label) as base
+  from votes join t using (template) where is_phrase and len(q) = n - {PHRASE_K} + 1 group by r),
+own as (select r, template, label, n, diagonal, list_distinct(flatten(list_transform(q, lambda x: range(x, x + {NOTICE_K})))) as hit
+  from votes join t using (template) where not is_phrase),
+spans as (select *, max(len(hit) * {MOST_WORDS} - diagonal) over (partition by r, template order by diagonal / (n * {(MAX_STRETCH - 1) / 2}::double + {DIAGONAL_GAP / 2}::double) range between 1 preceding and 1 following) as span from own),
+found as (select r, label, len(list_distinct(flatten(list(hit)))) / n as cover from spans group by r, template, label, n, span),
+extra as (select r, list(distinct label) as more, max(cover) as cover from found where cover >= {MIN_COVER} group by r)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_base, 0) as bigint) as n_base, cast(first_word as bigint) as first_word, cast(last_word as bigint) as last_word,
+  coalesce(array_to_string(list_sort(base), ','), '') as base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), coalesce(more, [])))), ','), '') as labels,
+  case when base is not null then 1.0::double else coalesce(cover, 0)::double end as score
+from d left join base using (r) left join extra using (r)
+"""

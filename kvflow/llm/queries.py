@@ -62,4 +62,4 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate,
     "op10_quality": op10_quality,
 }
-ORACLE_SQL: dict[str, str] = {"op4_url_filter": urlfilter.ORACLE_SQL, "op6_exact_dedup": exactdedup.ORACLE_SQL, "op8_secrets": secretscan.ORACLE_SQL, "op9_decontaminate": decontaminate.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_licenses": licenses.ORACLE_SQL, "op4_url_filter": urlfilter.ORACLE_SQL, "op6_exact_dedup": exactdedup.ORACLE_SQL, "op8_secrets": secretscan.ORACLE_SQL, "op9_decontaminate": decontaminate.ORACLE_SQL}

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from kvflow.llm import components, decontaminate, langid, licenses, secretscan, simhash
-from tests.llm.fixtures import DOCS, ascii_lower, documents, rows_of, text
+from tests.llm.fixtures import DOCS, against_sql, ascii_lower, documents, rows_of, text
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -49,6 +49,39 @@ def test_language(spark):
     assert {r.lang_pred for r in langid.identify(spark.createDataFrame(rows, DOCS).withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_language_against_plain_python(spark):
+    """Ranks, distances and scores of every document, by the definition."""
+    rng = random.Random(32)
+    vocab = {x: ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 8))) for _ in range(60)] for x, letters in (("aa", "abcdeé"), ("bb", "bcdefß"), ("cc", "xyzabc"))}
+    rows = []
+    for i in range(90):
+        lang = rng.choice(list(vocab))
+        mixed = [rng.choice(vocab[lang] if rng.random() < 0.8 else vocab["aa"]) for _ in range(rng.choice([1, 3, 40]))]
+        rows.append((i, rng.choice([" ", ", ", "1 "]).join(mixed).title(), lang if i % 7 else None, "s", 1))
+    rows += [rows[0], (None, "abc de", "aa", "s", 1), (200, None, "aa", "s", 1), (201, "12", "bb", "s", 1)]
+    import zlib
+
+    held_out = lambda i: i is not None and zlib.crc32(str(i).encode()) % 3 == 1
+    # The shorter n-gram first among equals, then by code point.
+    ranked = lambda c: [g for g, _ in sorted(c.items(), key=lambda x: (-x[1], len(x[0]), x[0].replace(" ", "\0")))[: langid.PROFILE_SIZE]]
+    counts = {}
+    for i, t, lang, *_ in rows:
+        if lang and t is not None and not held_out(i):
+            counts.setdefault(lang, Counter()).update(profile(t))
+    profiles = {lang: {g: k for k, g in enumerate(ranked(c))} for lang, c in counts.items()}
+
+    def judged(t):
+        own = ranked(profile(t or ""))
+        if not own:
+            return "und", 0.0
+        distance = {lang: sum(abs(p[g] - k) if g in p else langid.PROFILE_SIZE for k, g in enumerate(own)) for lang, p in profiles.items()}
+        best = min(sorted(distance), key=distance.get)
+        return best, round(max(0.0, 1 - distance[best] / (langid.PROFILE_SIZE * len(own))), 9)
+
+    got = Counter((r.doc_id, r.held_out, r.lang_pred, round(r.score, 9)) for r in langid.identify(spark.createDataFrame(rows, DOCS)).collect())
+    assert got == Counter((i, held_out(i), *judged(t)) for i, t, *_ in rows)
+
+
 def fingerprint(s):
     w = re.findall(r"[^\x20\x09-\x0D]+", ascii_lower(s or ""))
     grams = [" ".join(w[i : i + 4]) for i in range(max(1, len(w) - 3))] if w else []
@@ -124,7 +157,32 @@ def test_spanning_edges():
     assert len(edges) == 7 and all((a ^ b).bit_count() <= 4 for a, b in edges)
 
 
-def test_licenses(spark):
+def test_notices_among_noise(spark, tmp_path):
+    """Notices cut, stretched, doubled and amid chance hits of their own words, against SQL; noise hides no notice."""
+    rng = random.Random(31)
+    notices = [t.split() for t in licenses.NOTICES.values()]
+    rows = []
+    for i in range(60):
+        w = []
+        for _ in range(rng.randrange(1, 5)):
+            n = list(rng.choice(notices))
+            for _ in range(rng.randrange(4)):
+                at = rng.randrange(len(n))
+                n[at : at + rng.randrange(3)] = ["new"] * rng.randrange(4)
+            w += n[rng.randrange(3) :] + [x for _ in range(rng.randrange(12)) for x in rng.choice(notices)[rng.randrange(9) :][: rng.randrange(3, 9)]]
+        rows.append((i, " ".join(w), None, None, None))
+    mit = licenses.NOTICES["mit"]
+    gram = " ".join(mit.split()[20:26])
+    rows.append((100, " ".join(f"{gram} {'x ' * k}" for k in range(30)) + mit + " ".join(f" {gram} {'y ' * k}" for k in range(30)), None, None, None))
+    docs = spark.createDataFrame(rows, DOCS)
+    found = licenses.scan(docs)
+    against_sql(tmp_path, found, licenses.ORACLE_SQL, documents=docs)
+    longest = max(map(len, notices)) * licenses.MAX_STRETCH + licenses.DIAGONAL_GAP
+    got = {r.doc_id: r for r in found.collect()}
+    assert "mit" in got[100].labels and all(s.stop - s.start <= longest for r in got.values() for s in r.spans)
+
+
+def test_licenses(spark, tmp_path):
     mit = licenses.NOTICES["mit"].split()
     dropped = " ".join(w for i, w in enumerate(mit) if i % 25 != 7)
     extra = [
@@ -149,6 +207,7 @@ def test_licenses(spark):
     assert by_id[903].labels == by_id[904].labels == "" and by_id[904].score == 0
     assert by_id[905].labels == "gpl" and by_id[905].score == 1
     assert licenses.scan(docs.limit(0)).count() == 0
+    against_sql(tmp_path, licenses.scan(docs), licenses.ORACLE_SQL, documents=docs)
     with pytest.raises(ValueError):
         licenses.templates({"one": "x"}, {})
 
