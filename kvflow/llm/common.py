@@ -5,6 +5,9 @@ from __future__ import annotations
 import string
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,18 +60,41 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+#: Paths written inside the open scope, if there is one.
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: lineage is cut, and a lost executor costs only a reread."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/kvflow/{name}-{uuid.uuid4().hex}"
+    if (written := _written.get()) is not None:
+        written.append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.__dict__["written_at"] = path
+    return found
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def discard(df: DataFrame) -> None:
-    """Remove the files of a table that materialise() wrote; nothing that is still to be read may depend on them."""
-    spark = df.sparkSession
-    for name in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        if "/kvflow/" in name:
-            path = spark._jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    """Remove the files of a table that materialise() returned; nothing that is still to be read may depend on them."""
+    _delete(df.sparkSession, df.__dict__["written_at"])
+
+
+@contextmanager
+def only_result(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Tables that are written inside go at its end, but for those that are put into the list given."""
+    kept: list[DataFrame] = []
+    token = _written.set([])
+    try:
+        yield kept
+    finally:
+        written = _written.get()
+        _written.reset(token)
+        for path in set(written) - {k.__dict__["written_at"] for k in kept}:
+            _delete(spark, path)

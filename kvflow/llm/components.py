@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kvflow.llm.common import materialise
+from kvflow.llm.common import discard, materialise
 
 MAX_ROUNDS = 60
 
@@ -46,6 +46,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
             break
         following = materialise(_small_star(_large_star(current)), "edges")
         new = _mark(following)
+        discard(current)
         current, same = following, new == mark
         mark = new
         if same:
