@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kvflow.llm import decontaminate, jaccard, langid, mixing, sharding
-from kvflow.llm.common import ROW_KEY, discard, materialise, table, with_row_key
+from kvflow.llm.common import ROW_KEY, discard, materialise, only_result, table, with_row_key
 
 #: Languages the corpus is for; None takes every language that training rows name.
 LANGUAGES: tuple[str, ...] | None = None
@@ -150,10 +150,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two copies of the corpus at most stand in the shared folder at a time."""
+    """Two copies of the corpus at most stand in the shared folder at a time; what a stage wrote on its way goes with it."""
     docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        with only_result(spark) as kept:
+            docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+            kept.append(docs)
         if before is not None:
             discard(before)
         before = docs
