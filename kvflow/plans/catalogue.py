@@ -117,25 +117,23 @@ def slot_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keys.select(F.col("key").cast("string").alias("key"), slot(F.col("key")).alias("slot"))
 
 
-_ONE_SLOT = "filtered as (select * from p where cmd in ('SET', 'HSET', 'FOOCMD'))"
+_ONE_SLOT = "one as (select seq, min(slot) as slot from (select seq, unnest(keys) as k from p) join s using (k) group by seq having count(distinct slot) = 1)"
 
 
-def _routable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return synth.entries(spark, sf_dir, with_slots=True).where(F.col("cmd_name").isin("SET", "HSET", "FOOCMD"))
-
-
-@_query(f"with {synth.SQL}, {_SLOTS}, {_ONE_SLOT} select seq, s.slot as slot, 'node' || (s.slot // 4096) || ':6379' as node from filtered join s on s.k = filtered.keys[1] where cmd <> 'FOOCMD'")
+@_query(f"with {synth.SQL}, {_SLOTS}, {_ONE_SLOT} select seq, slot, 'node' || (slot // 4096) || ':6379' as node from one")
 def slot_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _routable(spark, sf_dir).where("cmd_name <> 'FOOCMD'")
-    return routing.route(e, routing.even_routes(spark, NODES)).select("seq", "slot", "node")
+    """Every command with keys to the node of their slot; those whose keys span slots are dropped."""
+    e = synth.entries(spark, sf_dir, with_slots=True).where("size(keys) > 0")
+    return routing.route(e, routing.even_routes(spark, NODES), "drop").select("seq", "slot", "node")
 
 
 @_query(
-    f"with {synth.SQL}, {_SLOTS}, {_ONE_SLOT}, r as (select 'node' || (s.slot // 4096) || ':6379' as node from filtered join s on s.k = filtered.keys[1] "
-    "union all select 'node' || n || ':6379' from filtered, range(4) g(n) where cmd = 'FOOCMD') select node, count(*) as n from r group by node"
+    f"with {synth.SQL}, {_SLOTS}, {_ONE_SLOT}, r as (select 'node' || (slot // 4096) || ':6379' as node from one "
+    "union all select 'node' || n || ':6379' from p, range(4) g(n) where len(keys) = 0) select node, count(*) as n from r group by node"
 )
 def node_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return routing.route(_routable(spark, sf_dir), routing.even_routes(spark, NODES)).groupBy("node").agg(F.count("*").alias("n"))
+    e = synth.entries(spark, sf_dir, with_slots=True)
+    return routing.route(e, routing.even_routes(spark, NODES), "drop").groupBy("node").agg(F.count("*").alias("n"))
 
 
 @_query("select seq, 'node' || n || ':6379' as node from p, range(4) g(n) where cmd = 'FOOCMD'")
@@ -320,14 +318,14 @@ def scan_rewrite_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query(
-    "with c as (select o_orderkey as id, o_custkey as key from orders where o_orderkey % 3 <> 0), g as (select l_orderkey as id, max(epoch_ms(l_shipdate)) as delivery_ms, count(*) as deliveries from lineitem where l_orderkey % 2 = 0 group by l_orderkey) "
+    "with c as (select o_orderkey as id, o_custkey as key from orders), g as (select l_orderkey as id, max(epoch_ms(l_shipdate)) as delivery_ms, count(*) as deliveries from lineitem where l_returnflag = 'R' group by l_orderkey) "
     "select id, key, coalesce(delivery_ms, 0) as delivery_ms, coalesce(deliveries, 0) as deliveries from c left join g using (id)"
 )
 def pel_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as a consumer's pending ids, lineitem as the group's list."""
+    """Orders as a consumer's pending ids, their returned items as the group's list, which lacks some of them."""
     orders, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("orders", "lineitem"))
-    consumer = orders.where("o_orderkey % 3 <> 0").select(F.col("o_custkey").alias("key"), F.lit("g").alias("grp"), F.col("o_orderkey").alias("id"))
-    group = items.where("l_orderkey % 2 = 0").groupBy(F.col("l_orderkey").alias("id")).agg(F.unix_millis(F.max("l_shipdate").cast("timestamp")).alias("delivery_ms"), F.count("*").alias("deliveries"))
+    consumer = orders.select(F.col("o_custkey").alias("key"), F.lit("g").alias("grp"), F.col("o_orderkey").alias("id"))
+    group = items.where("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("id")).agg(F.unix_millis(F.max("l_shipdate").cast("timestamp")).alias("delivery_ms"), F.count("*").alias("deliveries"))
     group = group.join(consumer.select("key", "grp", "id"), "id")
     return values.pending_commands(consumer, group).select("id", "key", "delivery_ms", "deliveries")
 
