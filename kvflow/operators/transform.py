@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 
 from kvflow.operators.parse import parse
 
+LOG = logging.getLogger("kvflow.function")
+
 
 @dataclass(frozen=True)
 class Call:
@@ -24,6 +27,10 @@ class Call:
     slots: list[int]
     argv: list[bytes]
 
+    def log(self, message: object) -> None:
+        """A line in the log of the executor that runs the function."""
+        LOG.info("function: %s", message)
+
 
 TableFunction = Callable[[Call], Iterable[tuple[int, list[bytes | str | int]]]]
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import socket
 import ssl
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import Any
 
@@ -58,10 +58,13 @@ class Connection:
         at, keys = self.do("scan", cursor, "count", count)
         return int(at), keys
 
-    def keys(self, count: int) -> Iterator[bytes]:
+    def keys(self, count: int, progress: Callable[[float], None] | None = None) -> Iterator[bytes]:
+        """Every key; progress is told the share that is scanned after each step, in percent."""
         cursor = None
         while cursor != 0:
             cursor, keys = self.scan(cursor or 0, count)
+            if progress:
+                progress(scanned(cursor))
             yield from keys
 
     def databases(self) -> list[int]:
@@ -91,6 +94,11 @@ class Connection:
         self.close()
 
 
+def scanned(cursor: int) -> float:
+    """The share of a keyspace, in percent, that a scan has done at a cursor: its bits count up from the highest; 0 is the end."""
+    return 100.0 * int(f"{cursor:064b}"[::-1], 2) / ((1 << 64) - 1) if cursor else 100.0
+
+
 def shard_addresses(at: Address, cluster: bool, prefer_replica: bool = False) -> list[str]:
     """The addresses to read from: each shard's master, or its best healthy replica."""
     with Connection(at) as c:

@@ -6,6 +6,7 @@ keys as they change.  Both give source_id, seq, db_id, key, dump, pttl; a null d
 
 from __future__ import annotations
 
+import logging
 import re
 import select
 import time
@@ -24,6 +25,9 @@ from kvflow.sources.rdb import decode_large
 
 SCHEMA = "source_id string, seq long, db_id int, key binary, dump binary, pttl long"
 PIPELINE = 1024
+LOG = logging.getLogger("kvflow.scan")
+#: Least time between two lines of a scan's progress.
+LOG_SECONDS = 5.0
 _EVENT = re.compile(rb"__keyevent@(\d+)__:(\w+)")
 #: Events that leave no key.
 REMOVALS = (b"del", b"expired", b"evicted")
@@ -79,7 +83,15 @@ class _ScanReader(DataSourceReader):
             if partition.db:
                 c.do("select", partition.db)
             source, seq = f"{partition.address}/{partition.db}", 0
-            for some in batched(c.keys(self.count), PIPELINE):
+            told = time.monotonic()
+
+            def progress(percent: float) -> None:
+                nonlocal told
+                if time.monotonic() - told >= LOG_SECONDS:
+                    told = time.monotonic()
+                    LOG.info("%s: %.2f%% scanned", source, percent)
+
+            for some in batched(c.keys(self.count, progress), PIPELINE):
                 for key, dump, pttl in fetch(c, list(dict.fromkeys(some))):
                     yield source, seq, partition.db, key, dump, pttl
                     seq += 1

@@ -14,10 +14,11 @@ from kvflow.functions import snapshot
 from kvflow.functions.resp import encode
 from kvflow.operators import replay
 from kvflow.operators.parse import parse
+from kvflow.operators.transform import Call
 from kvflow.plans import pipeline
 from kvflow.sinks import files, server
 from kvflow.sources import aof, rdb, replication, scan
-from kvflow.sources.client import Address, Connection, shard_addresses
+from kvflow.sources.client import Address, Connection, scanned, shard_addresses
 from kvflow.streaming.status import Status, human_bytes, serve
 from tests import encode as e
 from tests.fakeserver import FakeServer
@@ -266,6 +267,18 @@ def test_notifications_go_on_after_a_restart(spark, servers, tmp_path):
     assert sorted(argv[:2] for _, _, argv in got) == [[b"DEL", b"c"], [b"RESTORE", b"a"]]
 
 
+def test_scan_progress_and_function_log(servers, caplog):
+    assert scanned(0) == 100 and scanned(1 << 63) < 1e-9 and round(scanned(1)) == 50 and round(scanned(3)) == 75
+    source = servers(data={0: {b"a": b"1", b"b": b"2", b"c": b"3"}})
+    told = []
+    with Connection(Address(source.address)) as c:
+        assert set(c.keys(2, told.append)) == {b"a", b"b", b"c"}
+    assert len(told) == 2 and told[-1] == 100
+    with caplog.at_level("INFO", "kvflow.function"):
+        Call(0, "STRING", "GET", [b"k"], [1], [], [b"GET", b"k"]).log("seen")
+    assert "function: seen" in caplog.text
+
+
 def test_database_of_a_following_log():
     aux = lambda k, v: bytes([250]) + e.string(k) + e.string(v)
     import io
