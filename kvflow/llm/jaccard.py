@@ -164,7 +164,7 @@ def _candidates(rows: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _linked(candidates: DataFrame, texts: DataFrame, part_texts: int, part_shingles: int) -> DataFrame:
-    """Edges a-b that span the texts linked at LEAST or more.  candidates: candidate, node, n, row key, each node once."""
+    """node, component of the texts linked at LEAST or more.  candidates: candidate, node, n, row key, each node once."""
     sizes = candidates.groupBy("candidate").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
     parts = F.greatest(F.ceil(F.col("members") / part_texts), F.ceil(F.col("shingles") / part_shingles)).cast("int")
     sizes = materialise(sizes.select("candidate", "members", parts.alias("parts")), "candidate-sizes")
@@ -180,12 +180,12 @@ def _linked(candidates: DataFrame, texts: DataFrame, part_texts: int, part_shing
     everywhere = hubs.select("candidate", "node", *ROW_KEY, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"))
     members = dealt.select(name("i"), "node", *ROW_KEY).union(everywhere.select(name("i"), "node", *ROW_KEY))
     edges = materialise(_compared(members, texts), "part-links")
+    found = connected_components(edges)
     if not several.limit(1).count():
-        return edges
+        return found
 
     # Parts that still hold classes apart: each two of them that could be linked meet in a task.
-    known = connected_components(edges)
-    known = several.join(known, "node", "left").select("candidate", "parts", "i", "node", F.coalesce("component", "node").alias("class"), *ROW_KEY)
+    known = several.join(found, "node", "left").select("candidate", "parts", "i", "node", F.coalesce("component", "node").alias("class"), *ROW_KEY)
     known = materialise(known, "part-classes")
     apart = known.groupBy("candidate").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
     ends = known.join(apart.select("candidate"), "candidate", "left_semi").groupBy("candidate", "i").agg(F.min("class").alias("low"), F.max("class").alias("high"))
@@ -193,9 +193,11 @@ def _linked(candidates: DataFrame, texts: DataFrame, part_texts: int, part_shing
     two = ends.alias("x").join(ends.alias("y"), (F.col("x.candidate") == F.col("y.candidate")) & (F.col("x.i") < F.col("y.i")))
     two = two.where("least(x.low, y.low) < greatest(x.high, y.high)").select("x.candidate", F.col("x.i").alias("i"), F.col("y.i").alias("j"))
     two = materialise(two, "part-pairs")
+    if not two.limit(1).count():
+        return found
     sides = two.select("candidate", "i", name("i", "j")).union(two.select("candidate", "j", name("i", "j")))
     members = known.join(sides, ["candidate", "i"]).select("part", "node", *ROW_KEY)
-    return edges.union(materialise(_compared(members, texts), "pair-links"))
+    return connected_components(edges.union(_compared(members, texts)))
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_texts: int = PART_TEXTS, part_shingles: int = PART_SHINGLES) -> DataFrame:
@@ -207,7 +209,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part
     nodes = materialise(rows.groupBy("node", "fp", "n").agg(F.min(F.struct(*ROW_KEY)).alias("row")), "nodes")
     candidates = connected_components(_candidates(rows, nodes)).withColumnRenamed("component", "candidate")
     chosen = materialise(candidates.join(nodes, "node").select("candidate", "node", "n", "row.*"), "candidates")
-    linked = connected_components(_linked(chosen, keyed.select(*ROW_KEY, "text"), part_texts, part_shingles))
+    linked = _linked(chosen, keyed.select(*ROW_KEY, "text"), part_texts, part_shingles)
     placed = nodes.select("node").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     # Written, so that the join deals both sides anew and a set that very many rows share can be split over tasks.
     return rows.select(id_col, *ROW_KEY, "node").join(materialise(placed, "placed"), "node").drop("node")
