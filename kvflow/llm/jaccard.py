@@ -147,7 +147,8 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _compared(members: DataFrame, texts: DataFrame) -> DataFrame:
     """Edges a-b found inside each part.  members: part, node and the row key of a text with the node's set."""
-    met = texts.join(members, ROW_KEY).select("part", "node", "text")
+    # Written, so that Spark knows how few they are: the texts then move only where they are to be compared.
+    met = texts.join(materialise(members, "members"), ROW_KEY).select("part", "node", "text")
     return met.repartition("part").sortWithinPartitions("part").mapInArrow(_verify, "a long, b long")
 
 
