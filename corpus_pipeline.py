@@ -66,11 +66,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     say.  Of rows repeated in full one stays.  Columns may have any names.
     """
     groups = materialise(jaccard.groups(docs.select("doc_id", "text")), "near")
-    best = materialise(groups.groupBy("component").agg(F.min(F.struct(*ROW_KEY)).alias("best"), F.count("*").alias("n")), "best")
-    stay = best.select("best.*", F.lit(True).alias("stays"))
-    kept = _whole(docs).join(stay, ROW_KEY).drop("stays")
+    key = F.struct(*ROW_KEY)
+    best = materialise(groups.groupBy("component").agg(F.min(key).alias("best"), F.max(key).alias("most")), "best")
+    # Written, so that Spark knows how few they are: where they fit, the texts needn't be dealt.
+    go = groups.join(best.where("best < most").select("component", "best"), "component").where(key != F.col("best"))
+    kept = _whole(docs).join(materialise(go.select(*ROW_KEY).distinct(), "near-go"), ROW_KEY, "left_anti")
     # Rows of one doc_id and text: almost never any, so the texts are dealt by their key only where there are.
-    if groups.groupBy(*ROW_KEY).count().where("count > 1").join(stay, ROW_KEY, "left_semi").limit(1).count():
+    if groups.groupBy(*ROW_KEY).count().where("count > 1").limit(1).count():
         order = Window.partitionBy(*ROW_KEY).orderBy(_content())
         kept = kept.withColumn("place", F.row_number().over(order)).where("place = 1")
     return kept.select("doc.*")
@@ -79,7 +81,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark window.  Null and wordless texts hold none; repeated rows fare alike; an empty
     benchmark drops nothing.  Columns may have any names."""
-    judged = decontaminate.flags(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    judged = materialise(decontaminate.flags(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark")), "contaminated")
     return _whole(docs).join(judged, ROW_KEY, "left_anti").select("doc.*")
 
 
