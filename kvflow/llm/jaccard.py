@@ -147,8 +147,8 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _compared(members: DataFrame, texts: DataFrame) -> DataFrame:
     """Edges a-b found inside each part.  members: part, node and the row key of a text with the node's set."""
-    # Written, so that Spark knows how few they are: the texts then move only where they are to be compared.
-    met = texts.join(materialise(members, "members"), ROW_KEY).select("part", "node", "text")
+    # Members grow with the texts: one plan at every size.
+    met = texts.join(materialise(members, "members").hint("merge"), ROW_KEY).select("part", "node", "text")
     return met.repartition("part").sortWithinPartitions("part").mapInArrow(_verify, "a long, b long")
 
 
@@ -156,7 +156,7 @@ def _candidates(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edges a-b that span the candidate groups.  rows: node, bands; nodes: node, fp."""
     entries = rows.select("node", F.explode("bands").alias("entry"))
     least = entries.groupBy("entry").agg(F.min("node").alias("b"), F.max("node").alias("most")).where("b < most")
-    by_band = entries.join(least.select("entry", "b"), "entry").where("node <> b").select(F.col("node").alias("a"), "b")
+    by_band = entries.join(least.select("entry", "b").hint("merge"), "entry").where("node <> b").select(F.col("node").alias("a"), "b")
     prints = materialise(nodes.groupBy("fp").agg(F.min("node").alias("b")), "prints")
     same = nodes.join(prints, "fp").where("node <> b").select(F.col("node").alias("a"), "b")
     near = simhash.link(prints.select("fp"))
