@@ -68,9 +68,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     groups = materialise(jaccard.groups(docs.select("doc_id", "text")), "near")
     key = F.struct(*ROW_KEY)
     best = materialise(groups.groupBy("component").agg(F.min(key).alias("best"), F.max(key).alias("most")), "best")
-    # Written, so that Spark knows how few they are: where they fit, the texts needn't be dealt.
+    # What goes grows with the documents: one plan at every size.
     go = groups.join(best.where("best < most").select("component", "best"), "component").where(key != F.col("best"))
-    kept = _whole(docs).join(materialise(go.select(*ROW_KEY).distinct(), "near-go"), ROW_KEY, "left_anti")
+    kept = _whole(docs).join(materialise(go.select(*ROW_KEY).distinct(), "near-go").hint("merge"), ROW_KEY, "left_anti")
     # Rows of one doc_id and text: almost never any, so the texts are dealt by their key only where there are.
     if groups.groupBy(*ROW_KEY).count().where("count > 1").limit(1).count():
         order = Window.partitionBy(*ROW_KEY).orderBy(_content())
