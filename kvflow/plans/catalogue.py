@@ -643,6 +643,8 @@ def order_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordering.order_faults(files)
 
 
+#: Events whose ids share a multiple of this are written to one piece of each part.
+PIECE_IDS = 4096
 _PARTS = "file base.aof seq 1 type b\nfile \"incr one.aof\" seq 1 type i\n# a note\n\nfile incr2.aof seq 2 type i\n"
 
 
@@ -652,7 +654,10 @@ _PARTS = "file base.aof seq 1 type b\nfile \"incr one.aof\" seq 1 type i\n# a no
     "select seq, cast(db as int) as db_id, 'SET|k' || seq || '|v' as line from x, c where part = 0 or part * 1000000000 + seq < cut"
 )
 def manifest_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A log in three parts with time stamps, named by a manifest and cut at a time: the base stays whole."""
+    """A log in three parts with time stamps, named by a manifest and cut at a time: the base stays whole.
+
+    The parts are written and decoded in pieces of at most PIECE_IDS commands, so no row or task holds a part.
+    """
     parts = aof.parse_manifest(_PARTS)
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     until = events.agg(1000 + F.floor(F.max("event_id") / 30)).first()[0]
@@ -661,8 +666,9 @@ def manifest_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     select = F.array(F.lit(b"SELECT"), text((F.col("event_id") % 5).cast("string")))
     wire = F.concat(stamp, resp.encoded(select), resp.encoded(F.array(F.lit(b"SET"), text(F.concat(F.lit("k"), seq)), F.lit(b"v"))))
     name = F.get(F.array(*[F.lit(p.file) for p in parts]), (F.col("event_id") % 3).cast("int"))
-    written = events.groupBy(name.alias("path")).agg(F.array_sort(F.collect_list(F.struct("event_id", wire.alias("w")))).alias("ws"))
-    files = written.select("path", F.unhex(F.array_join(F.transform("ws", lambda x: F.hex(x["w"])), "")).alias("content"))
+    piece = F.floor(F.col("event_id") / PIECE_IDS).alias("piece")
+    written = events.groupBy(name.alias("path"), piece).agg(F.array_sort(F.collect_list(F.struct("event_id", wire.alias("w")))).alias("ws"))
+    files = written.select("path", "piece", F.unhex(F.array_join(F.transform("ws", lambda x: F.hex(x["w"])), "")).alias("content"))
     rows = aof.decode_parts(files, parts, "log", until)
     key = F.get("argv", 1).cast("string")
     return rows.select(F.expr("substring(cast(argv[1] as string), 2)").cast("long").alias("seq"), "db_id", F.concat(F.lit("SET|"), key, F.lit("|v")).alias("line"))

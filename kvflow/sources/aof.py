@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from dataclasses import dataclass
 from typing import BinaryIO
 
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from kvflow.functions.resp import Reader
-from kvflow.operators.ordering import absorb_select, cut_after
+from kvflow.operators.ordering import absorb_select
 from kvflow.sources import rdb
 
 #: A log's rows before SELECT is absorbed; ts is the time of the last stamp, in seconds.
@@ -113,10 +113,11 @@ def format_manifest(parts: list[Part]) -> str:
 Record = tuple[int, int, list[bytes], int | None]
 
 
-def read_log(file: BinaryIO, start: int = 0, until: int = 0, options: rdb.Options = rdb.Options()) -> Iterator[Record]:
+def read_log(file: BinaryIO, start: int = 0, until: int = 0, options: rdb.Options = rdb.Options()) -> Generator[Record, None, bool]:
     """(seq, db, argv, ts) of a part, seq from start.  until: stop before the first stamp later than that (0: never).
 
-    A part may begin with a snapshot, as bases do; snapshots aren't cut.  A broken tail ends the log.
+    A part may begin with a snapshot, as bases do; snapshots aren't cut.  A broken tail ends the log.  The generator's
+    value is whether a stamp stopped it.
     """
     head = file.read(5)
     if head == rdb.MAGIC:
@@ -137,7 +138,7 @@ def read_log(file: BinaryIO, start: int = 0, until: int = 0, options: rdb.Option
             if note.startswith(b"#TS:"):
                 ts = int(note[4:])
                 if until and ts > until:
-                    return
+                    return True
             continue
         if first and db:
             yield start, 0, [b"SELECT", b"%d" % db], ts
@@ -145,6 +146,7 @@ def read_log(file: BinaryIO, start: int = 0, until: int = 0, options: rdb.Option
         first = False
         yield start, 0, reader.command(), ts
         start += 1
+    return False
 
 
 class _Joined:
@@ -207,8 +209,9 @@ def _absorbed(rows: DataFrame) -> DataFrame:
     return from_log.withColumn("db_id", F.when(F.col("own") > 0, F.col("own")).otherwise(F.col("db_id"))).drop("own")
 
 
-#: seq of the rows of part n start at n times this.
+#: seq of the rows of part n start at n times this, those of its piece m at m times PIECE_ROWS after that.
 PART_ROWS = 1 << 40
+PIECE_ROWS = 1 << 20
 
 
 def read_multipart(spark: SparkSession, folder: str, manifest: str, until: int = 0, absorb: bool = True) -> DataFrame:
@@ -220,26 +223,67 @@ def read_multipart(spark: SparkSession, folder: str, manifest: str, until: int =
 
 
 def decode_parts(files: DataFrame, parts: list[Part], source: str, until: int = 0, absorb: bool = True) -> DataFrame:
-    """Commands of the parts in a table of path and content, as one source.  The base is never cut."""
+    """Commands of the parts in a table of path and content, as one source.  The base is never cut.
+
+    With a column piece a part may take many rows, so that no task holds it whole: its pieces are numbered from 0 in the
+    part's order, begin at a command or a stamp, and are decoded each by itself.  Rows before a piece's first stamp have
+    no ts; databases and cuts pass from piece to piece.  A snapshot is one piece.  Pieces of more than PIECE_ROWS rows
+    are refused, as are numbers from PART_ROWS / PIECE_ROWS on.
+    """
     rank = {p.file: (i, p.kind) for i, p in enumerate(parts)}
+    pieces = "piece" in files.columns
+    files = files.select("path", "content", F.col("piece").cast("long") if pieces else F.lit(0).cast("long").alias("piece"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import io
+    def place(name: str, piece: int) -> tuple[int, int]:
+        """The seq at which a piece starts, and the time at which its log is cut."""
         from urllib.parse import unquote
 
+        if not 0 <= piece < PART_ROWS // PIECE_ROWS:
+            raise ValueError(f"piece {piece} of {name}: the numbers end at {PART_ROWS // PIECE_ROWS - 1}")
+        i, kind = rank[unquote(os.path.basename(name))]
+        return i * PART_ROWS + piece * PIECE_ROWS, 0 if kind == BASE else until
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes, int | None]]:
         for b in batches:
-            for name, content in zip(b.column(0), b.column(1), strict=True):
-                i, _ = rank[unquote(os.path.basename(name.as_py()))]
-                yield from _batches(source, read_log(io.BytesIO(content.as_py()), i * PART_ROWS, 0))
+            for name, content, piece, *cut in zip(*b.columns, strict=True):
+                yield *place(name.as_py(), piece.as_py()), content.as_py(), cut[0].as_py() if cut else None
+
+    def stopped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The starts of the pieces with a late stamp."""
+        import io
+
+        found = [start for start, late, content, _ in each(batches) if late and _is_cut(read_log(io.BytesIO(content), start, late))]
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], ["cut"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import io
+
+        for start, late, content, cut in each(batches):
+            if not late or cut is None or start <= cut:
+                rows = read_log(io.BytesIO(content), start, late)
+                yield from _batches(source, _bounded(rows, start + PIECE_ROWS) if pieces else rows)
 
-    rows = files.select("path", "content").mapInArrow(run, SCHEMA)
     if until:
-        base = [i for i, k in rank.values() if k == BASE]
-        first = (max(base) + 1) * PART_ROWS if base else 0
-        rows = rows.where(F.col("seq") < first).unionByName(cut_after(rows.where(F.col("seq") >= first), until))
+        files = files.crossJoin(F.broadcast(files.mapInArrow(stopped, "cut long").agg(F.min("cut").alias("cut"))))
+    rows = files.mapInArrow(run, SCHEMA)
     return _absorbed(rows) if absorb else rows
 
 
+def _is_cut(records: Generator[Record, None, bool]) -> bool:
+    while True:
+        try:
+            next(records)
+        except StopIteration as end:
+            return end.value
+
+
+def _bounded(records: Iterator[Record], end: int) -> Iterator[Record]:
+    for r in records:
+        if r[0] >= end:
+            raise ValueError(f"a piece has more than {PIECE_ROWS} rows")
+        yield r
+
+
 def total_size(spark: SparkSession, folder: str, parts: list[Part]) -> int:
     """Bytes of all parts."""
     found = spark.read.format("binaryFile").load([f"{folder}/{p.file}" for p in parts])

@@ -85,6 +85,32 @@ def test_parts(spark, tmp_path):
     assert {r.db_id for r in aof.read_multipart(spark, str(tmp_path), "f.manifest").where("seq < 3").collect()} == {1}
 
 
+def test_parts_in_pieces(spark):
+    """Databases and cuts pass from piece to piece and from part to part, also where a late stamp ends a piece; the base stays whole."""
+    parts = [aof.Part("b", 1, "b"), aof.Part("i", 1, "i"), aof.Part("j", 2, "i")]
+    late = b"#TS:99\r\n"
+    cut = [
+        ("j", 0, log("set g 1")),
+        ("i", 7, log("set f 1")),
+        ("i", 3, log(b"#TS:12\r\n", "set e 1", late)),
+        ("i", 0, log("set c 1", "select 2", b"#TS:11\r\n", encode(["set", "d", late]))),
+        ("b", 1, log("set b 1", late)),
+        ("b", 0, log(late, "select 5", "set a 1")),
+    ]
+    files = spark.createDataFrame([(n, p, bytearray(c)) for n, p, c in cut], "path string, piece long, content binary").repartition(3)
+    shown = lambda df: [(bytes(r.argv[1]).decode(), r.db_id) for r in df.orderBy("seq").collect()]
+    whole = [("a", 5), ("b", 5), ("c", 5), ("d", 2), ("e", 2)]
+    assert shown(aof.decode_parts(files, parts, "s")) == whole + [("f", 2), ("g", 2)]
+    assert shown(aof.decode_parts(files, parts, "s", 50)) == whole
+    assert shown(aof.decode_parts(files, parts, "s", 11)) == whole[:4]
+    unsplit = spark.createDataFrame([("b", bytearray(b"")), ("i", bytearray(log("set e 1", late))), ("j", bytearray(log("set g 1")))], "path string, content binary")
+    assert shown(aof.decode_parts(unsplit, parts, "s", 50)) == [("e", 0)]
+    with pytest.raises(PySparkException, match="the numbers end"):
+        aof.decode_parts(files.withColumn("piece", F.lit(1 << 20)), parts, "s").collect()
+    with pytest.raises(ValueError, match="more than"):
+        list(aof._bounded(iter([(4, 0, [], None), (5, 0, [], None)]), 5))
+
+
 def test_manifests():
     assert aof.split_args(r'''a "b c\x41\n\"" 'd\'e' ''') == ["a", 'b cA\n"', "d'e"]
     odd = [aof.Part('a "b"\x01.aof', 3, "h")]
